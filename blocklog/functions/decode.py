@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from blocklog.model import (
     ENVELOPE_VERSION,
@@ -114,27 +113,6 @@ def decode_simple(df: DataFrame, *, height_type: str = "bigint") -> DataFrame:
     return _with_block(df, zero, F.lit(""), F.lit(""), F.lit(None).cast("string"), height_type)
 
 
-def _json_schema(paths: dict[str, str]) -> T.StructType:
-    """Schema of a parse that keeps only the wanted leaves, each as a variant that knows its type."""
-    tree: dict = {}
-    for path in paths.values():
-        node = tree
-        *inner, leaf = path.split(".")
-        for part in inner:
-            node = node.setdefault(part, {})
-        node[leaf] = None
-
-    def struct(node: dict) -> T.StructType:
-        return T.StructType(
-            [
-                T.StructField(name, T.VariantType() if child is None else struct(child))
-                for name, child in node.items()
-            ]
-        )
-
-    return struct(tree).add("_malformed", T.StringType())
-
-
 def _decode_json(
     df: DataFrame,
     paths: dict[str, str],
@@ -144,61 +122,57 @@ def _decode_json(
     require_fields: bool,
     height_type: str,
 ) -> DataFrame:
-    """Three JSON paths with type checks.
-
-    ``from_json`` reads only the three leaves. A document whose shape does not fit that schema is
-    parsed a second time as a whole, which tells malformed text from an absent path.
-    """
-    text, tree, whole = "__text", "__tree", "__whole"
+    """Three JSON paths with type checks, from one parse of the payload."""
+    text, tree = "__text", "__tree"
     parsed = df.withColumn(text, F.col(payload).cast("string")).withColumn(
-        tree,
-        F.from_json(text, _json_schema(paths), {"columnNameOfCorruptRecord": "_malformed"}),
+        tree, F.try_parse_json(text)
     )
-    fits = F.col(tree).isNotNull() & F.col(f"{tree}._malformed").isNull()
-    parsed = parsed.withColumn(whole, F.when(~fits, F.try_parse_json(text)))
-
-    def leaf(path: str) -> Column:
-        return F.when(fits, F.col(f"{tree}.{path}")).otherwise(
-            F.try_variant_get(whole, f"$.{path}", "variant")
-        )
-
-    parsed = parsed.select(
-        *df.columns, text, whole, fits.alias("__fits"), *[leaf(p).alias(f"__{c}") for c, p in paths.items()]
+    # One projection per step, so that no leaf is taken or typed more than once.
+    leaves = parsed.select(
+        *df.columns,
+        text,
+        F.col(tree).isNull().alias("__bad"),
+        *[F.try_variant_get(tree, f"$.{p}", "variant").alias(f"__{c}") for c, p in paths.items()],
+    )
+    typed = leaves.select(
+        *df.columns,
+        text,
+        "__bad",
+        *[F.schema_of_variant(f"__{c}").alias(f"__type_{c}") for c in paths],
+        *[F.try_variant_get(f"__{c}", "$", "string").alias(f"__{c}") for c in (HASH, PREV_HASH)],
+        F.try_variant_get(f"__{HEIGHT}", "$", "decimal(20,0)").alias(f"__{HEIGHT}"),
     )
-    kind = {c: F.schema_of_variant(f"__{c}") for c in paths}
+    kind = {c: F.col(f"__type_{c}") for c in paths}
     absent = {
         c: kind[c].isNull() | (kind[c] == "VOID") if null_is_absent else kind[c].isNull()
         for c in paths
     }
 
-    def string_of(c: str) -> Column:
-        return F.when(kind[c] == "STRING", F.try_variant_get(f"__{c}", "$", "string"))
-
     # A whole number in 64-bit range is BIGINT. A larger one is DECIMAL, as is 1.0, so there the
     # text of the number decides.
-    number = F.when(
-        kind[HEIGHT] == "BIGINT", F.try_variant_get(f"__{HEIGHT}", "$", "decimal(20,0)")
-    ).when(
-        kind[HEIGHT].startswith("DECIMAL"),
-        parse_uint(F.get_json_object(text, f"$.{paths[HEIGHT]}")),
+    number = (
+        F.when(absent[HEIGHT], F.lit(0).cast("decimal(20,0)"))
+        .when((kind[HEIGHT] == "BIGINT") & (F.col(f"__{HEIGHT}") >= 0), F.col(f"__{HEIGHT}"))
+        .when(
+            kind[HEIGHT].startswith("DECIMAL"),
+            parse_uint(F.get_json_object(text, f"$.{paths[HEIGHT]}")),
+        )
     )
-    height = F.when(number >= 0, number)
-    error = F.when(~F.col("__fits") & F.col(whole).isNull(), "bad_json")
+    typed = typed.withColumn("__number", number)
+    error = F.when(F.col("__bad"), "bad_json")
     for c in (HASH, PREV_HASH):
-        error = error.when(~absent[c] & F.coalesce(kind[c] != "STRING", F.lit(False)), f"bad_{c}")
+        error = error.when(~absent[c] & (kind[c] != "STRING"), f"bad_{c}")
         if require_fields:
             error = error.when(absent[c], f"missing_{c}")
-    error = error.when(~absent[HEIGHT] & height.isNull(), "bad_height")
+    error = error.when(F.col("__number").isNull(), "bad_height")
     if require_fields:
         error = error.when(absent[HEIGHT], "missing_height")
-    zero = F.lit(0).cast("decimal(20,0)")
+
+    def text_of(c: str) -> Column:
+        return F.when(absent[c], "").otherwise(F.col(f"__{c}"))
+
     out = _with_block(
-        parsed,
-        F.coalesce(height, F.when(absent[HEIGHT], zero)),
-        F.coalesce(string_of(HASH), F.lit("")),
-        F.coalesce(string_of(PREV_HASH), F.lit("")),
-        error,
-        height_type,
+        typed, F.col("__number"), text_of(HASH), text_of(PREV_HASH), error, height_type
     )
     kept = [c for c in df.columns if c not in (HEIGHT, HASH, PREV_HASH, ERROR)]
     return out.select(*kept, HEIGHT, HASH, PREV_HASH, ERROR)

@@ -14,11 +14,8 @@ with the number of broken links, not with the number of rows.
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from blocklog.model import (
     ACCEPTED,
@@ -47,8 +44,8 @@ from blocklog.operators.prefix import (
 )
 from blocklog.session import Staging
 
-# Islands of one log that a single task walks; logs with more go through joins.
-WALK_LIMIT = 500_000
+# Islands of one log that a single row holds; logs with more go through joins.
+WALK_LIMIT = 10_000
 _NONE = -2
 
 WRONG_BRIDGE = (CORRUPT, HASH_MISMATCH)
@@ -157,21 +154,30 @@ def _successors(candidates: DataFrame, probes: DataFrame, by_height: bool, width
     )
 
 
-def _walk(group: pd.DataFrame) -> pd.DataFrame:
-    """Follow the path through the islands of one log."""
-    group = group.sort_values("island")
-    island, following, entry = (
-        group[c].to_numpy() for c in ("island", "next_island", "next_entry")
-    )
-    index = np.searchsorted(island, following)
-    reached, entries, at = [0], [island[0]], 0
-    while following[at] != _NONE:
-        entries.append(entry[at])
-        at = index[at]
-        reached.append(at)
-    return pd.DataFrame(
-        {STREAM: group[STREAM].iloc[0], "island": island[reached], "entry": entries}
+def _walk(edges: DataFrame) -> DataFrame:
+    """Follow the path inside one row per log; for logs of a bounded number of islands.
+
+    A path only goes forward, so one pass over the ordered islands meets its members in turn.
+    """
+    islands = edges.groupBy(STREAM).agg(
+        F.array_sort(F.collect_list(F.struct("island", "next_island", "next_entry"))).alias("all")
     )
+    first = F.col("all")[0]["island"]
+    kind = edges.schema["island"].dataType.simpleString()
+
+    def state(following: Column, entry: Column, path: Column) -> Column:
+        return F.struct(
+            following.alias("following"), entry.alias("entry"), path.alias("path")
+        )
+
+    def step(at: Column, edge: Column) -> Column:
+        here = F.array(F.struct(at["following"].alias("island"), at["entry"].alias("entry")))
+        taken = state(edge["next_island"], edge["next_entry"], F.concat(at["path"], here))
+        return F.when(edge["island"] == at["following"], taken).otherwise(at)
+
+    nothing = F.array().cast(f"array<struct<island: {kind}, entry: {kind}>>")
+    path = F.aggregate(F.col("all"), state(first, first, nothing), step)["path"]
+    return islands.select(STREAM, F.inline(path))
 
 
 def _double(edges: DataFrame, staging: Staging) -> DataFrame:
@@ -211,23 +217,14 @@ def _double(edges: DataFrame, staging: Staging) -> DataFrame:
 
 def _reached(edges: DataFrame, staging: Staging, walk_limit: int) -> DataFrame:
     """Islands on the path with their entry row: STREAM, island, entry."""
-    schema = T.StructType(
-        [
-            edges.schema[STREAM],
-            T.StructField("island", edges.schema["island"].dataType),
-            T.StructField("entry", edges.schema["island"].dataType),
-        ]
-    )
     sizes = edges.groupBy(STREAM).agg(F.count("*").alias("n"))
     largest = sizes.agg(F.max("n")).first()[0] or 0
     if largest <= walk_limit:
-        return edges.groupBy(STREAM).applyInPandas(_walk, schema)
+        return _walk(edges)
     long_logs = staging.table(sizes.where(F.col("n") > walk_limit).select(STREAM), "long-logs")
     short = edges.join(long_logs, STREAM, "left_anti")
     long = edges.join(long_logs, STREAM, "left_semi")
-    return short.groupBy(STREAM).applyInPandas(_walk, schema).unionByName(
-        _double(staging.table(long, "long-edges"), staging)
-    )
+    return _walk(short).unionByName(_double(staging.table(long, "long-edges"), staging))
 
 
 def _on_path(

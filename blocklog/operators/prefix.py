@@ -22,10 +22,10 @@ from pyspark.sql.window import WindowSpec
 DEFAULT_WIDTH = 131_072
 BUCKET = "__bucket"
 
+# Only frames that grow from the start of the window: a frame that shrinks towards its end is
+# evaluated anew for every row, which is quadratic. Looking ahead uses the reversed order instead.
 _BEFORE = (Window.unboundedPreceding, -1)
 _UP_TO = (Window.unboundedPreceding, 0)
-_AFTER = (1, Window.unboundedFollowing)
-_FROM = (0, Window.unboundedFollowing)
 
 
 @dataclass(frozen=True)
@@ -35,6 +35,8 @@ class _Spec:
     value: Column
     out: str
 
+    reverse = False
+
     def local(self, w: WindowSpec) -> Column:
         raise NotImplementedError
 
@@ -151,9 +153,11 @@ class NextValid(_Spec):
 
     inclusive: bool = False
 
+    reverse = True
+
     def local(self, w):
-        return F.first(self.value, ignorenulls=True).over(
-            w.rowsBetween(*(_FROM if self.inclusive else _AFTER))
+        return F.last(self.value, ignorenulls=True).over(
+            w.rowsBetween(*(_UP_TO if self.inclusive else _BEFORE))
         )
 
     def summary(self, position):
@@ -182,19 +186,32 @@ def with_prefix(
     """
     keys = list(keys)
     columns = [F.col(f"`{c}`") for c in df.columns]
+    forward = [F.asc(c) for c in (order, *tie)]
+    backward = [F.desc(c) for c in (order, *tie)]
+
+    def local_value(spec: _Spec, group: list[str]) -> Column:
+        return spec.local(
+            Window.partitionBy(*group).orderBy(*(backward if spec.reverse else forward))
+        )
+
     if width is None or tiers < 1:
-        w = Window.partitionBy(*keys).orderBy(order, *tie)
-        return df.select(
-            *columns, *[s.finish(s.merge(s.local(w), F.lit(None))).alias(s.out) for s in specs]
+        local = df.select(
+            *columns, *[local_value(s, keys).alias(f"__local{i}") for i, s in enumerate(specs)]
+        )
+        return local.select(
+            *columns,
+            *[
+                s.finish(s.merge(F.col(f"__local{i}"), F.lit(None))).alias(s.out)
+                for i, s in enumerate(specs)
+            ],
         )
 
     rows = df.withColumn(BUCKET, F.expr(f"`{order}` div {int(width)}"))
     group = [*keys, BUCKET]
     if spread:
         rows = rows.repartition(*group)
-    w = Window.partitionBy(*group).orderBy(order, *tie)
     local = rows.select(
-        *columns, BUCKET, *[s.local(w).alias(f"__local{i}") for i, s in enumerate(specs)]
+        *columns, BUCKET, *[local_value(s, group).alias(f"__local{i}") for i, s in enumerate(specs)]
     )
 
     position = F.struct(order, *tie) if tie else F.col(order)
