@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
 DEFAULT_WIDTH = 131_072
-BUCKET = "__bucket"
 
 # Only frames that grow from the start of the window: a frame that shrinks towards its end is
 # evaluated anew for every row, which is quadratic. Looking ahead uses the reversed order instead.
@@ -206,23 +205,25 @@ def with_prefix(
             ],
         )
 
-    rows = df.withColumn(BUCKET, F.expr(f"`{order}` div {int(width)}"))
-    group = [*keys, BUCKET]
+    bucket = f"__bucket{tiers}"
+    rows = df.withColumn(bucket, F.expr(f"`{order}` div {int(width)}"))
+    group = [*keys, bucket]
+    summary_rows = rows
     if spread:
         rows = rows.repartition(*group)
     local = rows.select(
-        *columns, BUCKET, *[local_value(s, group).alias(f"__local{i}") for i, s in enumerate(specs)]
+        *columns, bucket, *[local_value(s, group).alias(f"__local{i}") for i, s in enumerate(specs)]
     )
 
     position = F.struct(order, *tie) if tie else F.col(order)
-    summary = df.withColumn(BUCKET, F.expr(f"`{order}` div {int(width)}")).groupBy(*group).agg(
+    summary = summary_rows.groupBy(*group).agg(
         *[s.summary(position).alias(f"__sum{i}") for i, s in enumerate(specs)]
     )
     carried = with_prefix(
         summary,
         [s.carry(F.col(f"__sum{i}"), f"__carry{i}") for i, s in enumerate(specs)],
         keys=keys,
-        order=BUCKET,
+        order=bucket,
         width=width,
         tiers=tiers - 1,
     ).select(*group, *[f"__carry{i}" for i in range(len(specs))])
