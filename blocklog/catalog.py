@@ -15,13 +15,16 @@ from blocklog.model import (
     HASH, HASH_MISMATCH, HEADERS, HEIGHT, MSG_ID_HEADER, PAYLOAD, PREV_HASH, SEQ, STREAM,
 )
 from blocklog.operators import audit, compare, gate, resume, stats
+from blocklog.plans import checks, transfer
+from blocklog.plans.verified import CopyRules, VerifiedOutput, bridge_rules, restore_rules
+from blocklog.session import Staging
 from blocklog.sources import backup, log, sinks
+from blocklog.streaming import jobs
+from blocklog.streaming.compare import IncrementalCompare
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-LABELLED = (STREAM, SEQ)
-
 
 def query(fn: Query) -> Query:
     QUERIES[fn.__name__] = fn
@@ -474,3 +477,171 @@ def hist_exponential(spark, sf_dir):
 def throughput(spark, sf_dir):
     rows = stats.throughput(fx.backup_log(spark, sf_dir))
     return rows.select(STREAM, F.unix_seconds("window_start").alias("window_start"), "n")
+
+
+# --- whole jobs ---------------------------------------------------------------------------------
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{Staging(spark).root}/{name}"
+
+
+def _output(spark: SparkSession, messages: DataFrame) -> VerifiedOutput:
+    return VerifiedOutput(spark, _folder(spark, "output"), messages.schema[STREAM].dataType)
+
+
+def _bridge_rules() -> CopyRules:
+    return bridge_rules(mode="nested", tolerance=2, on_tolerance="stop")
+
+
+def _copied(output: VerifiedOutput) -> DataFrame:
+    return output.rows().select(
+        STREAM, "out_seq", HEIGHT, HASH,
+        D.first_header(F.col(HEADERS), MSG_ID_HEADER).alias("msg_id"),
+    )
+
+
+def _stream(spark: SparkSession, log_: DataFrame, name: str) -> DataFrame:
+    path = fx.message_files(spark, log_, name)
+    return log.read_log_stream(spark, path, log_.schema, max_files_per_trigger=1)
+
+
+@query
+def bridge_batch(spark, sf_dir):
+    messages = _messages(spark, sf_dir)
+    output = _output(spark, messages)
+    transfer.bridge(messages, output, _bridge_rules())
+    return _copied(output)
+
+
+@query
+def bridge_stream(spark, sf_dir):
+    messages = _messages(spark, sf_dir)
+    output = _output(spark, messages)
+    rows = _stream(spark, messages, "messages")
+    jobs.bridge_stream(rows, output, _bridge_rules(), _folder(spark, "offsets")).awaitTermination()
+    return _copied(output)
+
+
+def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fx.with_headers(fx.full_log(spark, sf_dir))
+    return backup.to_backup_records(rows)
+
+
+def _stored(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
+    rows = backup.read_backup(spark, path, schema=_records(spark, sf_dir).schema)
+    return rows.select(STREAM, SEQ, PAYLOAD, "unix_nano", D.first_header(F.col(HEADERS), MSG_ID_HEADER).alias("msg_id"))
+
+
+@query
+def backup_batch(spark, sf_dir):
+    records, path = _records(spark, sf_dir), _folder(spark, "backup")
+    end = _end(spark, sf_dir)
+    # First with holes, then the job fills them.
+    transfer.backup(records.where((F.col(SEQ) - 1) % 97 >= 3), path, 1, end, max_entries=5000)
+    transfer.backup(records, path, 1, end, max_entries=5000)
+    return _stored(spark, sf_dir, path)
+
+
+@query
+def backup_stream(spark, sf_dir):
+    records, path = _records(spark, sf_dir), _folder(spark, "backup")
+    jobs.backup_stream(
+        _stream(spark, records, "records"), path, 1, _end(spark, sf_dir),
+        _folder(spark, "offsets"), limits={"max_entries": 5000},
+    ).awaitTermination()
+    return _stored(spark, sf_dir, path)
+
+
+def _valid_backup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Backup of the rows of the faulty log that decode, all logs in one folder."""
+    valid = D.decoded_rows(_decoded(spark, sf_dir)).select(STREAM, SEQ, HEADERS, PAYLOAD)
+    return valid
+
+
+@query
+def restore_batch(spark, sf_dir):
+    valid = _valid_backup(spark, sf_dir).withColumn("chunk_id", F.expr(f"{SEQ} div 4096 * 4096"))
+    output = _output(spark, valid)
+    rules = restore_rules(
+        mode="nested", start=1, end=2**62, tolerance=1, on_tolerance="stop"
+    )
+    transfer.restore(valid, output, rules)
+    return output.rows().select(STREAM, "out_seq", HEIGHT, HASH)
+
+
+@query
+def restore_stream(spark, sf_dir):
+    valid = _valid_backup(spark, sf_dir)
+    output = _output(spark, valid)
+    rules = restore_rules(mode="nested", tolerance=1, on_tolerance="stop")
+    rows = _stream(spark, valid, "chunks")
+    jobs.bridge_stream(rows, output, rules, _folder(spark, "offsets")).awaitTermination()
+    return output.rows().select(STREAM, "out_seq", HEIGHT, HASH)
+
+
+@query
+def compare_incremental(spark, sf_dir):
+    a = _messages(spark, sf_dir).select(STREAM, SEQ, PAYLOAD, F.lit("A").alias("side"))
+    b = fx.compare_log(spark, sf_dir).select(STREAM, SEQ, PAYLOAD, F.lit("B").alias("side"))
+    both = a.unionByName(b)
+    job = IncrementalCompare(
+        spark, _folder(spark, "compare"), "nested", both.schema[STREAM].dataType
+    )
+    jobs.start(_stream(spark, both, "both"), job, _folder(spark, "offsets")).awaitTermination()
+    return job.findings().drop("batch_id")
+
+
+@query
+def stats_stream(spark, sf_dir):
+    documents = fx.raw(spark, sf_dir, "documents").withColumn(SEQ, F.col("doc_id") + 1)
+    sizes = jobs.size_stream(
+        _stream(spark, documents, "documents"), F.col("source"), F.col("text"), 1
+    )
+    path = _folder(spark, "sizes")
+
+    def keep(rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(path)
+
+    jobs.start(sizes, keep, _folder(spark, "offsets"), output_mode="complete").awaitTermination()
+    return spark.read.parquet(path)
+
+
+@query
+def throughput_stream(spark, sf_dir):
+    windows = jobs.throughput_stream(
+        _stream(spark, fx.backup_log(spark, sf_dir), "messages"), late="0 seconds"
+    )
+    path = _folder(spark, "windows")
+
+    def keep(rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch}")
+
+    jobs.start(windows, keep, _folder(spark, "offsets"), output_mode="update").awaitTermination()
+    # An interval that several batches met is in the output of each; the last count is final.
+    return (
+        spark.read.parquet(path)
+        .groupBy(STREAM, F.unix_seconds("window_start").alias("window_start"))
+        .agg(F.max("n").alias("n"))
+    )
+
+
+@query
+def dedup_window(spark, sf_dir):
+    rows = jobs.dedup_window(_stream(spark, _messages(spark, sf_dir), "messages"), "3650 days")
+    path = _folder(spark, "kept")
+    jobs.start(
+        rows.select(STREAM, SEQ, "msg_id", "ts"), sinks.plain_sink(path), _folder(spark, "offsets")
+    ).awaitTermination()
+    return spark.read.parquet(path).select(STREAM, "msg_id")
+
+
+@query
+def size_state(spark, sf_dir):
+    rows = fx.raw(spark, sf_dir, "documents").select(
+        F.lit(0).cast("bigint").alias(STREAM), (F.col("doc_id") + 1).alias(SEQ), "source", "text"
+    )
+    state = checks.SizeState(spark, _folder(spark, "state"))
+    half = rows.agg(F.max(SEQ)).first()[0] // 2
+    state.update(rows, F.col("source"), F.col("text"), end=half, resolution_kb=1)
+    return state.update(rows, F.col("source"), F.col("text"), resolution_kb=1)

@@ -167,3 +167,21 @@ def build_full_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def build_backup_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The long log with holes, as a backup stored in chunks."""
     return build_full_log(spark, sf_dir).where((F.col("seq") - 1) % 97 >= 3)
+
+
+def message_files(spark: SparkSession, log: DataFrame, name: str, files: int = 3) -> str:
+    """The log as files by sequence range, a source for the streaming file reader.
+
+    That reader takes files in order of their modification time, so the times are set in the order of
+    the ranges.
+    """
+    path = f"{Staging(spark).root}/{name}"
+    log.repartitionByRange(files, "seq").sortWithinPartitions("seq").write.parquet(path)
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().endswith(".parquet")]
+    first = jvm.java.lang.System.currentTimeMillis() - 1000 * (len(found) + 1)
+    for i, file in enumerate(sorted(found, key=lambda p: p.getName())):
+        fs.setTimes(file, first + 1000 * i, -1)
+    return path

@@ -32,7 +32,11 @@ FINDING_COLUMNS = (
 
 
 def prepare_side(
-    decoded: DataFrame, key: Column | None = None, *, width: int | None = DEFAULT_WIDTH
+    decoded: DataFrame,
+    key: Column | None = None,
+    *,
+    order: str = SEQ,
+    width: int | None = DEFAULT_WIDTH,
 ) -> DataFrame:
     """Narrow rows of one side with what the comparison needs of the rows before.
 
@@ -43,7 +47,8 @@ def prepare_side(
     error = F.col(ERROR) if ERROR in decoded.columns else F.lit(None).cast("string")
     ok = F.col(ERROR).isNull()
     rows = decoded.select(
-        STREAM, SEQ, HEIGHT, HASH, PREV_HASH, key.alias("key"), error.alias(ERROR)
+        STREAM, SEQ, HEIGHT, HASH, PREV_HASH, key.alias("key"), error.alias(ERROR),
+        *[c for c in (order,) if c != SEQ],
     )
     here = F.struct(
         F.col(SEQ).alias("seq"), F.col(HEIGHT).alias("height"), F.col(HASH).alias("hash"), "key"
@@ -57,15 +62,24 @@ def prepare_side(
             RunSum(F.when(ok, one).otherwise(zero), "before", inclusive=False),
         ],
         keys=[STREAM],
-        order=SEQ,
+        order=order,
         width=width,
     ).withColumn("nth", F.col("before") + 1).drop("before")
 
 
+def meets_as_a() -> Column:
+    """Rows of side A that can meet a row of B: none before is higher."""
+    return F.col(ERROR).isNull() & (F.col("top").isNull() | (F.col(HEIGHT) >= F.col("top")))
+
+
+def meets_as_b() -> Column:
+    """Rows of side B that can meet rows of A: all before are lower."""
+    return F.col(ERROR).isNull() & (F.col("top").isNull() | (F.col(HEIGHT) > F.col("top")))
+
+
 def _meeting(a: DataFrame, b: DataFrame) -> DataFrame:
     """Pairs of rows that the merge compares, with both payload keys."""
-    left = a.where(F.col(ERROR).isNull() & (F.col("top").isNull() | (F.col(HEIGHT) >= F.col("top"))))
-    right = b.where(F.col(ERROR).isNull() & (F.col("top").isNull() | (F.col(HEIGHT) > F.col("top"))))
+    left, right = a.where(meets_as_a()), b.where(meets_as_b())
     extra = [c for c in ("step",) if c in a.columns]
     return left.select(
         STREAM, HEIGHT, F.col(SEQ).alias("seq_a"), F.col("key").alias("key_a"),
@@ -126,9 +140,7 @@ def _with_step(
         .distinct()
         .withColumn("nth", F.lit(None).cast("bigint"))
     )
-    records = other.where(
-        F.col(ERROR).isNull() & (F.col("top").isNull() | (F.col(HEIGHT) > F.col("top")))
-    ).select(STREAM, F.col(HEIGHT).alias("x"), "nth")
+    records = other.where(meets_as_b()).select(STREAM, F.col(HEIGHT).alias("x"), "nth")
     # At equal height a record answers the wait of A but not that of B.
     rank = F.when(F.col("nth").isNull(), 0 if at_least else 1).otherwise(1 if at_least else 0)
     answered = with_prefix(

@@ -444,21 +444,39 @@ def successor(
 
 
 def wrong_runs(
-    labelled: DataFrame, wrong: Column, *, order: str = SEQ, width: int = DEFAULT_WIDTH
+    labelled: DataFrame,
+    wrong: Column,
+    *,
+    carried: DataFrame | None = None,
+    order: str = SEQ,
+    width: int = DEFAULT_WIDTH,
 ) -> DataFrame:
     """Add ``run``: how many wrong rows in a row end here, 0 on any other row.
 
-    ``labelled`` has the row number ``pos`` that the gates give.
+    ``labelled`` has the row number ``pos`` that the gates give. ``carried`` (STREAM, run) is the run
+    that was open before the first row of a log, from an earlier batch.
     """
+    columns = labelled.columns
+    marked = labelled.withColumn("__wrong", wrong).withColumn("__start", F.lit(False))
+    if carried is not None:
+        start = carried.select(
+            F.col(STREAM).cast(labelled.schema[STREAM].dataType).alias(STREAM),
+            F.lit(-1).cast(labelled.schema[order].dataType).alias(order),
+            (-F.col("run")).cast(labelled.schema["pos"].dataType).alias("pos"),
+            F.lit(False).alias("__wrong"),
+            F.lit(True).alias("__start"),
+        )
+        marked = marked.unionByName(start, allowMissingColumns=True)
     runs = with_prefix(
-        labelled,
-        [LastValid(F.when(~wrong, F.col("pos")), "__good")],
+        marked,
+        [LastValid(F.when(~F.col("__wrong"), F.col("pos")), "__good")],
         keys=[STREAM],
         order=order,
         width=width,
-    )
-    run = F.when(wrong, F.col("pos") - F.coalesce("__good", F.lit(0).cast("bigint")))
-    return runs.withColumn("run", F.coalesce(run, F.lit(0).cast("bigint"))).drop("__good")
+    ).where(~F.col("__start"))
+    none = F.lit(0).cast("bigint")
+    run = F.when(F.col("__wrong"), F.col("pos") - F.coalesce("__good", none))
+    return runs.select(*columns, F.coalesce(run, none).alias("run"))
 
 
 def tolerance_cutoff(

@@ -277,6 +277,8 @@ rruns AS (
     ELSE 0 END AS run FROM rwrong),
 rcuts AS (SELECT stream_id, min(seq) AS cut FROM rruns WHERE run > 1 GROUP BY 1)"""
 
+_STORED = "SELECT stream_id, seq, payload, epoch_us(ts) * 1000 AS unix_nano, msg_id FROM full_log"
+
 ORACLES: dict[str, str] = {
     # sources
     "read_log_range": _on(
@@ -454,7 +456,8 @@ path AS (
         _RUNS,
         _BRIDGED,
     ),
-    "backup_batch": _on("full", "SELECT stream_id, seq, hash, payload FROM full_log"),
+    "backup_batch": _on("full", _STORED),
+    "backup_stream": _on("full", _STORED),
     "restore_batch": _on(
         "valid",
         """SELECT g.stream_id, g.out_seq, g.height, g.hash FROM gate g LEFT JOIN rcuts c ON c.stream_id = g.stream_id
@@ -492,3 +495,22 @@ path AS (
         "SELECT stream_id, CAST(floor(epoch(ts) / 3) * 3 AS BIGINT) AS window_start, count(*) AS n FROM backup_log GROUP BY 1, 2",
     ),
 }
+
+# The streaming forms give what the batch forms give.
+ORACLES["bridge_stream"] = ORACLES["bridge_batch"]
+ORACLES["restore_stream"] = ORACLES["restore_batch"]
+ORACLES["stats_stream"] = ORACLES["size_distribution_1kb"]
+ORACLES["size_state"] = ORACLES["size_distribution_1kb"]
+ORACLES["throughput_stream"] = ORACLES["throughput"]
+ORACLES["dedup_window"] = _block("SELECT DISTINCT stream_id, msg_id FROM block_log")
+ORACLES["compare_incremental"] = _compare(
+    """SELECT stream_id, side, kind, prev_seq, prev_height, seq, height FROM (
+         SELECT stream_id, side, kind, prev_seq, prev_height, seq, height FROM kinds WHERE kind IS NOT NULL
+         UNION ALL
+         SELECT stream_id, 'A', 'CORRUPTED', prev_seq, prev_height, seq, NULL FROM bad_step
+         UNION ALL
+         SELECT a.stream_id, 'AB', 'DISCREPANCY', a.seq, a.height, b.seq, a.height
+         FROM a JOIN b ON b.stream_id = a.stream_id AND b.height = a.height
+         WHERE (a.top IS NULL OR a.height >= a.top) AND (b.top IS NULL OR b.height > b.top) AND a.payload <> b.payload)""",
+    _STEPS,
+)

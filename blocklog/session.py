@@ -102,3 +102,8 @@ def file_version(spark: SparkSession, path: str) -> tuple[int, int]:
 def _fs(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _fs(spark, path)
+    fs.mkdirs(hadoop_path)
