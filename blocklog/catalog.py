@@ -40,8 +40,14 @@ def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.decode_nested(_messages(spark, sf_dir))
 
 
-def _other(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return D.decode_nested(fx.compare_log(spark, sf_dir).select(STREAM, SEQ, PAYLOAD))
+def _narrow(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    """The decoded fields as a table, for operators that read them more than once."""
+    return D.stage_decoded(_messages(spark, sf_dir), "nested", Staging(spark), **options)
+
+
+def _narrow_other(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fx.compare_log(spark, sf_dir).select(STREAM, SEQ, PAYLOAD)
+    return D.stage_decoded(rows, "nested", Staging(spark), with_key=True)
 
 
 def _gated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,16 +206,16 @@ def segments(spark, sf_dir):
 
 @query
 def link_check(spark, sf_dir):
-    return audit.link_check(_decoded(spark, sf_dir))
+    return audit.link_check(_narrow(spark, sf_dir))
 
 
 @query
 def height_check(spark, sf_dir):
-    return audit.height_check(_decoded(spark, sf_dir))
+    return audit.height_check(_narrow(spark, sf_dir))
 
 
 def _anomalies(spark: SparkSession, sf_dir: str, mode: str, *kinds: str) -> DataFrame:
-    found = audit.sequence_findings(_decoded(spark, sf_dir), mode, D.payload_key(F.col(PAYLOAD)))
+    found = audit.sequence_findings(_narrow(spark, sf_dir, with_key=True), mode, F.col("key"))
     return found.where(F.col("kind").isin(*kinds))
 
 
@@ -235,12 +241,12 @@ def audit_height_gap_flat(spark, sf_dir):
 
 @query
 def validation_report(spark, sf_dir):
-    return audit.validation_report(audit.validation_findings(_decoded(spark, sf_dir)))
+    return audit.validation_report(audit.validation_findings(_narrow(spark, sf_dir, with_headers=True)))
 
 
 @query
 def first_failure(spark, sf_dir):
-    return audit.first_failure(audit.validation_findings(_decoded(spark, sf_dir)))
+    return audit.first_failure(audit.validation_findings(_narrow(spark, sf_dir, with_headers=True)))
 
 
 # --- gate ---------------------------------------------------------------------------------------
@@ -253,7 +259,7 @@ def write_gate(spark, sf_dir):
 
 @query
 def gate_with_tip(spark, sf_dir):
-    decoded = _decoded(spark, sf_dir)
+    decoded = _narrow(spark, sf_dir)
     tips = decoded.where(F.col(ERROR).isNull()).select(STREAM).distinct().select(
         STREAM,
         F.lit(100).cast("bigint").alias("out_seq"),
@@ -280,7 +286,7 @@ def strict_sequence(spark, sf_dir):
 
 @query
 def successor(spark, sf_dir):
-    rows = D.decoded_rows(_decoded(spark, sf_dir)).select(STREAM, SEQ, HEIGHT, HASH, PREV_HASH)
+    rows = D.decoded_rows(_narrow(spark, sf_dir))
     return gate.successor(rows, rows)
 
 
@@ -337,21 +343,25 @@ def output_headers(spark, sf_dir):
 @query
 def compare_by_height(spark, sf_dir):
     return compare.compare_by_height(
-        compare.prepare_side(_decoded(spark, sf_dir)), compare.prepare_side(_other(spark, sf_dir))
+        compare.prepare_side(_narrow(spark, sf_dir, with_key=True), F.col("key")),
+        compare.prepare_side(_narrow_other(spark, sf_dir), F.col("key")),
     )
 
 
 @query
 def compare_findings(spark, sf_dir):
-    found = compare.compare_findings(_decoded(spark, sf_dir), _other(spark, sf_dir), "nested")
+    found = compare.compare_findings(
+        _narrow(spark, sf_dir, with_key=True), _narrow_other(spark, sf_dir), "nested",
+        key=F.col("key"),
+    )
     return found.drop("phase", "fatal")
 
 
 @query
 def compare_until_fatal(spark, sf_dir):
     found = compare.compare_findings(
-        _decoded(spark, sf_dir), _other(spark, sf_dir), "nested",
-        skip_duplicates=True, skip_gaps=True, skip_corrupted=True,
+        _narrow(spark, sf_dir, with_key=True), _narrow_other(spark, sf_dir), "nested",
+        key=F.col("key"), skip_duplicates=True, skip_gaps=True, skip_corrupted=True,
     )
     return compare.until_first_fatal(found).select(STREAM, "side", "kind", SEQ)
 
@@ -538,8 +548,9 @@ def backup_batch(spark, sf_dir):
     records, path = _records(spark, sf_dir), _folder(spark, "backup")
     end = _end(spark, sf_dir)
     # First with holes, then the job fills them.
-    transfer.backup(records.where((F.col(SEQ) - 1) % 97 >= 3), path, 1, end, max_entries=5000)
-    transfer.backup(records, path, 1, end, max_entries=5000)
+    limits = {"max_entries": 5000, "split_at_holes": False}
+    transfer.backup(records.where((F.col(SEQ) - 1) % 97 >= 3), path, 1, end, **limits)
+    transfer.backup(records, path, 1, end, **limits)
     return _stored(spark, sf_dir, path)
 
 
@@ -548,20 +559,19 @@ def backup_stream(spark, sf_dir):
     records, path = _records(spark, sf_dir), _folder(spark, "backup")
     jobs.backup_stream(
         _stream(spark, records, "records"), path, 1, _end(spark, sf_dir),
-        _folder(spark, "offsets"), limits={"max_entries": 5000},
+        _folder(spark, "offsets"), limits={"max_entries": 5000, "split_at_holes": False},
     ).awaitTermination()
     return _stored(spark, sf_dir, path)
 
 
 def _valid_backup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Backup of the rows of the faulty log that decode, all logs in one folder."""
-    valid = D.decoded_rows(_decoded(spark, sf_dir)).select(STREAM, SEQ, HEADERS, PAYLOAD)
-    return valid
+    """The rows of the faulty log that decode, as a backup of all logs."""
+    return fx.with_headers(fx.valid_log(spark, sf_dir)).select(STREAM, SEQ, HEADERS, PAYLOAD)
 
 
 @query
 def restore_batch(spark, sf_dir):
-    valid = _valid_backup(spark, sf_dir).withColumn("chunk_id", F.expr(f"{SEQ} div 4096 * 4096"))
+    valid = _valid_backup(spark, sf_dir).withColumn("chunk_id", F.expr(f"{SEQ} div 262144 * 262144"))
     output = _output(spark, valid)
     rules = restore_rules(
         mode="nested", start=1, end=2**62, tolerance=1, on_tolerance="stop"

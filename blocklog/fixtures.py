@@ -48,6 +48,14 @@ def full_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(spark, sf_dir, "events", "full_log", build_full_log)
 
 
+def valid_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The faulty log without the truncated payloads."""
+    return _stored(
+        spark, sf_dir, "events", "valid_log",
+        lambda s, d: block_log(s, d).where(F.col("fault") != "corrupt"),
+    )
+
+
 def with_headers(df: DataFrame) -> DataFrame:
     """The message id as a header map."""
     return df.withColumn(

@@ -22,6 +22,7 @@ from blocklog.model import (
     STREAM,
     UINT64_MAX,
 )
+from blocklog.session import Staging
 
 Decoder = Callable[[DataFrame], DataFrame]
 
@@ -174,8 +175,11 @@ def _decode_json(
     out = _with_block(
         typed, F.col("__number"), text_of(HASH), text_of(PREV_HASH), error, height_type
     )
+    # The fields leave through a generator. The planner moves a filter below projections, where each
+    # use of a field in it would parse again; it does not move one below a generator.
     kept = [c for c in df.columns if c not in (HEIGHT, HASH, PREV_HASH, ERROR)]
-    return out.select(*kept, HEIGHT, HASH, PREV_HASH, ERROR)
+    fields = F.struct(HEIGHT, HASH, PREV_HASH, ERROR)
+    return out.select(*kept, F.inline(F.array(fields)))
 
 
 def decode_nested(
@@ -239,6 +243,28 @@ def decode(df: DataFrame, mode: str | Decoder, **options) -> DataFrame:
     return decoder(df, **options) if options else decoder(df)
 
 
+def stage_decoded(
+    messages: DataFrame,
+    mode: str | Decoder,
+    staging: Staging,
+    *,
+    with_key: bool = False,
+    with_headers: bool = False,
+) -> DataFrame:
+    """Decode once into a narrow table without the payload, for work that reads it several times.
+
+    ``with_key`` adds the payload key as ``key``.
+    """
+    known = [c for c in (STREAM, SEQ, HEADERS, PAYLOAD) if c in messages.columns]
+    decoded = decode(messages.select(*known), mode)
+    extra = [HEADERS] if with_headers else []
+    if with_key:
+        extra.append(payload_key(F.col(PAYLOAD)).alias("key"))
+    return staging.table(
+        decoded.select(STREAM, SEQ, HEIGHT, HASH, PREV_HASH, ERROR, *extra), "decoded"
+    )
+
+
 def decoded_rows(df: DataFrame, on_corrupt: str = "skip") -> DataFrame:
     """Rows that decode. ``on_corrupt='fail'`` stops the job at the first one that does not."""
     if on_corrupt == "skip":

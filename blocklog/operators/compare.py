@@ -193,8 +193,8 @@ def compare_findings(
     staging = staging or Staging(decoded_a.sparkSession)
     a = staging.table(prepare_side(decoded_a, key, width=width), "side-a")
     b = staging.table(prepare_side(decoded_b, key, width=width), "side-b")
-    a_steps = _with_step(a, b, 1, True, width)
-    b_steps = _with_step(b, a, 2, False, width)
+    a_steps = staging.table(_with_step(a, b, 1, True, width), "steps-a")
+    b_steps = staging.table(_with_step(b, a, 2, False, width), "steps-b")
     pairs = _meeting(a_steps, b_steps).where(F.col("key_a") != F.col("key_b"))
     unequal = pairs.select(
         STREAM,

@@ -41,6 +41,7 @@ from blocklog.operators.prefix import (
     RunMax,
     RunSum,
     with_prefix,
+    with_prefix_in_groups,
 )
 from blocklog.session import Staging
 
@@ -118,7 +119,9 @@ def _bands() -> Column:
     return F.when(F.col("low") == F.col("high"), one).when(F.col("probe"), above).otherwise(own)
 
 
-def _successors(candidates: DataFrame, probes: DataFrame, by_height: bool, width: int) -> DataFrame:
+def _successors(
+    candidates: DataFrame, probes: DataFrame, by_height: bool, staging: Staging, width: int
+) -> DataFrame:
     """For each probe the earliest later candidate that names its key (and is higher).
 
     Both sides have STREAM, link, p, h, island. The search is a prefix pass over their union within
@@ -139,12 +142,13 @@ def _successors(candidates: DataFrame, probes: DataFrame, by_height: bool, width
     else:
         events = events.join(probes.select(*on).distinct(), on, "left_semi").drop("h")
         keys = on
-    found = with_prefix(
-        events,
+    found = with_prefix_in_groups(
+        staging.table(events, "events"),
         [NextValid(F.when(~F.col("probe"), F.struct("p", "island")), "next")],
         keys=keys,
         order="p",
         tie=("probe",),
+        staging=staging,
         width=width,
     )
     return (
@@ -224,7 +228,8 @@ def _reached(edges: DataFrame, staging: Staging, walk_limit: int) -> DataFrame:
     long_logs = staging.table(sizes.where(F.col("n") > walk_limit).select(STREAM), "long-logs")
     short = edges.join(long_logs, STREAM, "left_anti")
     long = edges.join(long_logs, STREAM, "left_semi")
-    return _walk(short).unionByName(_double(staging.table(long, "long-edges"), staging))
+    both = _walk(short).unionByName(_double(staging.table(long, "long-edges"), staging))
+    return staging.table(both, "reached")
 
 
 def _on_path(
@@ -238,7 +243,7 @@ def _on_path(
     probes = live.where("tail").select(STREAM, F.col("key").alias("link"), *side)
     none = F.lit(_NONE)
     edges = staging.table(
-        _successors(candidates, probes, by_height, width).select(
+        _successors(candidates, probes, by_height, staging, width).select(
             STREAM,
             "island",
             F.coalesce("next.island", none).alias("next_island"),
@@ -246,7 +251,7 @@ def _on_path(
         ),
         "edges",
     )
-    reached = staging.table(_reached(edges, staging, walk_limit), "reached")
+    reached = _reached(edges, staging, walk_limit)
     taken = F.col("live") & F.coalesce(F.col("p") >= F.col("entry"), F.lit(False))
     return (
         islands.join(reached, [STREAM, "island"], "left")
@@ -424,9 +429,14 @@ def strict_sequence(
 
 
 def successor(
-    rows: DataFrame, after: DataFrame, *, width: int = DEFAULT_WIDTH
+    rows: DataFrame,
+    after: DataFrame,
+    *,
+    staging: Staging | None = None,
+    width: int = DEFAULT_WIDTH,
 ) -> DataFrame:
     """For each row of ``after`` (stream_id, seq, height, hash) the next acceptable row's sequence."""
+    staging = staging or Staging(rows.sparkSession)
     candidates = rows.select(
         STREAM, F.coalesce(PREV_HASH, F.lit("")).alias("link"), F.col(SEQ).alias("p"),
         F.col(HEIGHT).alias("h"), F.col(SEQ).alias("island"),
@@ -435,7 +445,7 @@ def successor(
         STREAM, F.coalesce(HASH, F.lit("")).alias("link"), F.col(SEQ).alias("p"),
         F.col(HEIGHT).alias("h"), F.col(SEQ).alias("island"),
     )
-    return _successors(candidates, probes, True, width).select(
+    return _successors(candidates, probes, True, staging, width).select(
         STREAM, F.col("p").alias(SEQ), F.col("next.p").alias("next_seq")
     )
 

@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
+from blocklog.session import Staging
+
 DEFAULT_WIDTH = 131_072
 
 # Only frames that grow from the start of the window: a frame that shrinks towards its end is
@@ -235,3 +237,27 @@ def with_prefix(
             for i, s in enumerate(specs)
         ],
     )
+
+
+def with_prefix_in_groups(
+    df: DataFrame,
+    specs: Sequence[_Spec],
+    *,
+    keys: Sequence[str],
+    order: str,
+    staging: Staging,
+    tie: Sequence[str] = (),
+    width: int = DEFAULT_WIDTH,
+) -> DataFrame:
+    """The same for keys that are mostly rare: one window per key, buckets only for keys of more than
+    ``width`` rows. ``df`` is read several times, so it should be a stored table."""
+    sizes = df.groupBy(*keys).agg(F.count("*").alias("n"))
+    options = {"keys": keys, "order": order, "tie": tie}
+    if (sizes.agg(F.max("n")).first()[0] or 0) <= width:
+        return with_prefix(df, specs, width=None, **options)
+    hot = staging.table(sizes.where(F.col("n") > width).select(*keys), "hot")
+    rare = df.join(hot, list(keys), "left_anti").select(*df.columns)
+    frequent = df.join(hot, list(keys), "left_semi").select(*df.columns)
+    return with_prefix(rare, specs, width=None, **options).unionByName(
+        with_prefix(frequent, specs, width=width, **options)
+    )

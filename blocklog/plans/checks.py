@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blocklog.functions.decode import decode
-from blocklog.model import ERROR, HASH, HEADERS, HEIGHT, PREV_HASH, SEQ, STREAM
+from blocklog.functions.decode import stage_decoded
+from blocklog.model import HEIGHT, SEQ, STREAM
 from blocklog.operators import audit, compare, stats
 from blocklog.session import Staging, child_names
 from blocklog.sources.log import seq_range
@@ -24,11 +24,8 @@ def validate_backup(
 ) -> tuple[DataFrame, DataFrame]:
     """The report by kind and the first failure of each log; both empty for a sound backup."""
     staging = staging or Staging(backup.sparkSession)
-    decoded = decode(backup.where(F.col(SEQ) >= start), mode).select(
-        STREAM, SEQ, HEIGHT, HASH, PREV_HASH, ERROR, HEADERS
-    )
     findings = audit.validation_findings(
-        staging.table(decoded, "decoded"),
+        stage_decoded(backup.where(F.col(SEQ) >= start), mode, staging, with_headers=True),
         end=end,
         ignore_seq_gaps=ignore_seq_gaps,
         ignore_msg_id=ignore_msg_id,
@@ -62,8 +59,10 @@ def compare_logs(
             F.lit(2).alias("phase"),
         )
         return compare.until_first_fatal(audit.mark_fatal(found, **skip_flags))
+    staging = Staging(a.sparkSession)
+    sides = [stage_decoded(side, mode, staging, with_key=True) for side in (a, b)]
     return compare.until_first_fatal(
-        compare.compare_findings(decode(a, mode), decode(b, mode), mode, **skip_flags)
+        compare.compare_findings(*sides, mode, key=F.col("key"), staging=staging, **skip_flags)
     )
 
 

@@ -55,13 +55,19 @@ def _first_batch(output: VerifiedOutput, checkpoint: str) -> int:
 
 
 def bridge_stream(
-    messages: DataFrame, output: VerifiedOutput, rules: CopyRules, checkpoint: str, **run
+    messages: DataFrame,
+    output: VerifiedOutput,
+    rules: CopyRules,
+    checkpoint: str,
+    *,
+    sink: Sink | None = None,
+    **run,
 ) -> StreamingQuery:
     """Continuous verified copy. With :func:`restore_rules` it restores from a stream of backup files."""
     first = _first_batch(output, checkpoint)
 
     def step(rows: DataFrame, batch: int) -> None:
-        copy_batch(rows, output, first + batch, rules)
+        copy_batch(rows, output, first + batch, rules, sink=sink)
 
     return start(messages, step, checkpoint, **run)
 

@@ -12,7 +12,7 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 @pytest.fixture(scope="session")
 def spark():
-    return local_session(4, app="blocklog-tests", spark__sql__shuffle__partitions="4")
+    return local_session(4, app="blocklog-tests", spark__sql__shuffle__partitions="2")
 
 
 @pytest.fixture(scope="session")
