@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from blocklog import fixtures as fx
 from blocklog.functions import decode as D
+from blocklog.functions.envelope import with_envelope
 from blocklog.functions.scalar import relative_seq
 from blocklog.model import (
     CORRUPT, ERROR, EXPECTED_LAST_MSG_ID_HEADER, EXPECTED_LAST_SEQ_HEADER, EXPECTED_STREAM_HEADER,
@@ -68,7 +69,7 @@ def _end(spark: SparkSession, sf_dir: str) -> int:
 
 @query
 def read_log_range(spark, sf_dir):
-    rows = fx.backup_log(spark, sf_dir).where(log.seq_range(101, 90001))
+    rows = fx.backup_log(spark, sf_dir).where(log.seq_range(101, _end(spark, sf_dir)))
     return rows.select(STREAM, SEQ, HEIGHT, HASH, "msg_id")
 
 
@@ -155,6 +156,29 @@ def envelope_check(spark, sf_dir):
     )
 
 
+@query
+def envelope_fields(spark, sf_dir):
+    def big_endian(value, digits: int):
+        return F.lpad(F.hex(value), digits, "0")
+
+    head = F.concat(
+        F.lit("0185"), big_endian(F.col(SEQ) % 24, 2),
+        F.lit("1b"), big_endian(F.col(SEQ), 16),
+        F.lit("1a"), big_endian(F.unix_seconds("ts"), 8),
+        F.lit("19"), big_endian(F.col(SEQ) % 1000, 4),
+        F.lit("50"), F.md5(PAYLOAD),
+    )
+    rows = fx.block_log(spark, sf_dir).select(
+        STREAM, SEQ, F.concat(F.unhex(head), F.col(PAYLOAD).cast("binary")).alias(PAYLOAD)
+    )
+    found = with_envelope(rows)
+    return found.select(
+        STREAM, SEQ, "envelope.type", F.col("envelope.sequential_id").cast("bigint").alias("sequential_id"),
+        "envelope.ts_s", "envelope.ts_ms", F.lower(F.hex("envelope.unique_id")).alias("unique_id"),
+        F.col("body").cast("string").alias("body"), "envelope_error",
+    )
+
+
 @query
 def headers_roundtrip(spark, sf_dir):
     stored = _messages(spark, sf_dir).withColumn("entries", D.headers_out(F.col(HEADERS)))
@@ -549,7 +573,8 @@ def backup_batch(spark, sf_dir):
     end = _end(spark, sf_dir)
     # First with holes, then the job fills them.
     limits = {"max_entries": 5000, "split_at_holes": False}
-    transfer.backup(records.where((F.col(SEQ) - 1) % 97 >= 3), path, 1, end, **limits)
+    holed = backup.to_backup_records(fx.with_headers(fx.backup_log(spark, sf_dir)))
+    transfer.backup(holed, path, 1, end, **limits)
     transfer.backup(records, path, 1, end, **limits)
     return _stored(spark, sf_dir, path)
 

@@ -282,7 +282,7 @@ _STORED = "SELECT stream_id, seq, payload, epoch_us(ts) * 1000 AS unix_nano, msg
 ORACLES: dict[str, str] = {
     # sources
     "read_log_range": _on(
-        "backup", "SELECT stream_id, seq, height, hash, msg_id FROM backup_log WHERE seq >= 101 AND seq < 90001"
+        "backup", "SELECT stream_id, seq, height, hash, msg_id FROM backup_log WHERE seq >= 101"
     ),
     "ordered_scan": _block("SELECT stream_id, seq FROM block_log"),
     "get_at": _on("backup", "SELECT stream_id, seq, height, hash FROM backup_log WHERE seq = 504"),
@@ -328,6 +328,11 @@ ORACLES: dict[str, str] = {
         """SELECT stream_id, seq, CASE WHEN strlen(d) = 0 THEN 'empty_payload' WHEN ascii(d) <> 1 THEN 'unknown_envelope_version' END AS error
            FROM (SELECT stream_id, seq, CASE WHEN seq % 5 = 0 THEN payload WHEN seq % 7 = 0 THEN '' ELSE concat(chr(1), payload) END AS d FROM block_log)"""
     ),
+    "envelope_fields": _block(
+        """SELECT stream_id, seq, CAST(seq % 24 AS INTEGER) AS type, seq AS sequential_id,
+           CAST(floor(epoch(ts)) AS BIGINT) AS ts_s, CAST(seq % 1000 AS INTEGER) AS ts_ms, md5(payload) AS unique_id,
+           payload AS body, CAST(NULL AS VARCHAR) AS envelope_error FROM block_log"""
+    ),
     "headers_roundtrip": _block("SELECT stream_id, seq, msg_id AS first_value, CAST(1 AS INTEGER) AS n FROM block_log"),
     "relative_seq": _on("backup", "SELECT stream_id, seq, seq - 98 AS relative_seq FROM backup_log"),
     "payload_sizes": """SELECT page_id, CAST(strlen(url) AS INTEGER) AS packed, CAST(strlen(html) AS INTEGER) AS unpacked FROM pages""",

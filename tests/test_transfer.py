@@ -146,3 +146,12 @@ def test_validation_and_comparison_jobs(spark):
     found = checks.compare_logs(good, other, "nested").collect()
     assert [(r.kind, r.prev_seq, r.seq) for r in found] == [("DISCREPANCY", 3, 3)]
     assert [(r.kind, r.seq) for r in checks.compare_logs(good, other, "simple").collect()] == [("DISCREPANCY", 3)]
+
+
+def test_existing_output_is_adopted_unless_its_tip_is_corrupt(spark, tmp_path):
+    output = VerifiedOutput(spark, str(tmp_path / "out"))
+    output.adopt(messages(spark, CHAIN[:3]), "nested")
+    transfer.bridge(messages(spark, CHAIN), output, bridge_rules(tolerance=3))
+    assert written(output) == [(i, i) for i in range(4, 9)]
+    with pytest.raises(Exception, match="corrupt tip"):
+        VerifiedOutput(spark, str(tmp_path / "other")).adopt(messages(spark, [CHAIN[0], BAD]), "nested")
