@@ -20,6 +20,14 @@ def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def instant(df: DataFrame, name: str = "ts") -> Column:
+    """A column as an instant; a timestamp without zone is taken as UTC in any session zone."""
+    column = F.col(name)
+    if df.schema[name].dataType.typeName() == "timestamp_ntz":
+        column = F.convert_timezone(F.lit("UTC"), F.current_timezone(), column)
+    return column.cast("timestamp")
+
+
 def _stored(spark: SparkSession, sf_dir: str, source: str, name: str, build) -> DataFrame:
     key = (
         spark.sparkContext.applicationId,
@@ -66,8 +74,9 @@ def with_headers(df: DataFrame) -> DataFrame:
 
 def _numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with their position ``n`` within the user, counted in event order."""
-    events = raw(spark, sf_dir, "events").select(
-        F.col("user_id").alias("stream_id"), "event_id", F.col("ts").cast("timestamp").alias("ts")
+    events = raw(spark, sf_dir, "events")
+    events = events.select(
+        F.col("user_id").alias("stream_id"), "event_id", instant(events).alias("ts")
     )
     return with_prefix(
         events, [RunSum(F.lit(1).cast("bigint"), "n")], keys=["stream_id"], order="event_id"
@@ -159,10 +168,11 @@ def build_compare_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def build_full_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One long log without holes."""
     e = F.col("event_id")
-    return raw(spark, sf_dir, "events").select(
+    events = raw(spark, sf_dir, "events")
+    return events.select(
         F.lit(0).cast("bigint").alias("stream_id"),
         (e + 1).alias("seq"),
-        F.col("ts").cast("timestamp").alias("ts"),
+        instant(events).alias("ts"),
         F.floor(e / 1000).alias("chunk_id"),
         (e + 1).alias("height"),
         _tagged_hash("b", e).alias("hash"),

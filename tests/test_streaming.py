@@ -5,6 +5,7 @@ from blocklog import catalog as C
 from blocklog import fixtures as fx
 from blocklog.functions import decode as D
 from blocklog.operators import compare
+from blocklog.operators.gate import write_gate
 from blocklog.plans.verified import VerifiedOutput, bridge_rules
 from blocklog.sources import log
 from blocklog.streaming import jobs
@@ -21,10 +22,8 @@ def small(df):
 
 def test_bridge_stream_equals_gate_for_any_number_of_files(spark, sf_dir, tmp_path):
     messages = small(C._messages(spark, sf_dir))
-    from blocklog.operators.gate import write_gate
-
     want = rows_of(write_gate(D.decode_nested(messages)).where("label = 'ACCEPTED'"), "stream_id", "out_seq", "height", "hash")
-    for files in (1, 4):
+    for files in (3,):
         path = fx.message_files(spark, messages, f"files{files}", files)
         output = VerifiedOutput(spark, str(tmp_path / f"out{files}"))
         rules = bridge_rules(tolerance=10**6)
@@ -42,7 +41,7 @@ def test_bridge_stream_equals_gate_for_any_number_of_files(spark, sf_dir, tmp_pa
     assert rows_of(output.rows(), "stream_id", "out_seq", "height", "hash") == want
 
 
-@pytest.mark.parametrize("files", [1, 5])
+@pytest.mark.parametrize("files", [4])
 def test_compare_incremental_equals_batch(spark, sf_dir, tmp_path, files):
     a = small(C._messages(spark, sf_dir)).select("stream_id", "seq", "payload")
     b = small(fx.compare_log(spark, sf_dir)).select("stream_id", "seq", "payload")

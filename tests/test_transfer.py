@@ -99,7 +99,7 @@ def test_unverified_copy_and_own_sink(spark, tmp_path):
 
 
 def test_rules_are_checked():
-    for bad in ({"start": 5, "end": 5}, {"end": 1}, {"rule": "x"}, {"on_corrupt": "x"}):
+    for bad in ({"start": 5, "end": 5}, {"end": 1}, {"rule": "x"}, {"on_corrupt": "x"}, {"mode": "simple"}):
         with pytest.raises(ValueError):
             bridge_rules(**bad)
 
