@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from blocklog.llm import packing
+from blocklog.llm import packing, quality_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,8 +21,15 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = quality_rules.fit_rules(docs, _table(spark, sf_dir, "labels"))
+    return quality_rules.quality_rules(docs, model)
+
+
 QUERIES = {
     "op3_packing": op3_packing,
+    "op7_quality_rules": op7_quality_rules,
 }
 
 ORACLES: dict[str, str] = {}
