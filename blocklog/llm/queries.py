@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from blocklog.llm import packing, quality_rules
+from blocklog.llm import decontamination, packing, quality_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.decontaminate_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = quality_rules.fit_rules(docs, _table(spark, sf_dir, "labels"))
@@ -29,7 +33,34 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_packing": op3_packing,
+    "op4_decontamination": op4_decontamination,
     "op7_quality_rules": op7_quality_rules,
 }
 
-ORACLES: dict[str, str] = {}
+_AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+ORACLES: dict[str, str] = {
+    "op4_decontamination": f"""
+WITH d AS MATERIALIZED (SELECT doc_id, {_WORDS} AS w FROM documents),
+i AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+iw AS MATERIALIZED (
+  SELECT DISTINCT item_id, len(win) AS m, array_to_string(win, ' ') AS win FROM (
+    SELECT item_id, w[s : s + 9] AS win
+    FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM i WHERE len(w) > 0))),
+sizes AS (SELECT DISTINCT m FROM iw),
+starts AS (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS s FROM d, sizes WHERE len(w) >= m),
+occ AS MATERIALIZED (
+  SELECT DISTINCT doc_id, s, p.m, item_id
+  FROM (SELECT doc_id, m, s, array_to_string(w[s : s + m - 1], ' ') AS win FROM starts) p
+  JOIN iw ON iw.m = p.m AND iw.win = p.win),
+hit AS (
+  SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + m)) AS pos FROM occ) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM occ) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)""",
+}
