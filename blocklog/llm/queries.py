@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from blocklog.llm import decontamination, packing, quality_rules
+from blocklog.llm import decontamination, ngram_join, packing, quality_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.decontaminate_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = quality_rules.fit_rules(docs, _table(spark, sf_dir, "labels"))
@@ -34,6 +38,7 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_packing": op3_packing,
     "op4_decontamination": op4_decontamination,
+    "op6_ngram_join": op6_ngram_join,
     "op7_quality_rules": op7_quality_rules,
 }
 
@@ -63,4 +68,21 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
   CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op6_ngram_join": f"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 2], ' ') AS shingle
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+link AS MATERIALIZED (
+  SELECT a, b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY ALL)
+  JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * k >= 90 * (na.n + nb.n - k)),
+reach(doc_id, root) AS (
+  SELECT doc_id, doc_id FROM d
+  UNION
+  SELECT b, root FROM reach JOIN link ON reach.doc_id = a WHERE root < b)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, min(root) AS component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN reach USING (doc_id) GROUP BY ALL""",
 }
