@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from blocklog.llm import decontamination, ngram_join, packing, quality_rules
+from blocklog.llm import decontamination, language_model, ngram_join, packing, quality_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,11 +35,16 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(docs, model)
 
 
+def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_documents(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op3_packing": op3_packing,
     "op4_decontamination": op4_decontamination,
     "op6_ngram_join": op6_ngram_join,
     "op7_quality_rules": op7_quality_rules,
+    "op9_language_model": op9_language_model,
 }
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
