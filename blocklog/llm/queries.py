@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from blocklog.llm import decontamination, language_model, ngram_join, packing, quality_rules
+from blocklog.llm import decontamination, language_model, line_dedup, ngram_join, packing, quality_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +18,13 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document: its lines, those that went, the documents that keep them, and what is left."""
+    docs = _table(spark, sf_dir, "documents")
+    left = line_dedup.dedup_lines(docs.select("doc_id", "text", F.size(F.split("text", "\n", -1)).alias("n_lines")))
+    return left.select("doc_id", "n_lines", F.size("removed_lines").alias("n_removed"), "removed_lines", "first_docs", "text")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -40,6 +48,7 @@ def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_line_dedup": op2_line_dedup,
     "op3_packing": op3_packing,
     "op4_decontamination": op4_decontamination,
     "op6_ngram_join": op6_ngram_join,
