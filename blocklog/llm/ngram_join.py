@@ -32,14 +32,14 @@ PERCENT = 90
 #: Most shared shingles that a class asks for.
 MATCHES = 3
 #: Lists up to this length are paired out.
-SHORT = 8
+SHORT = 16
 #: Candidates that a class takes with one or two matches before it asks for one more.
 CHEAP = (4, 12)
 #: Shingles whose hash lies in this part of all are counted.
 COUNTED = 0.25
 #: A shingle in so many documents is ordered last; the most frequent FREQUENT of them are told to all tasks.
-OFTEN = 16
-FREQUENT = 1 << 17
+OFTEN = 8
+FREQUENT = 1 << 19
 
 
 def shingle_set(tokens: list[bytes], known: dict[bytes, int], size: int = SHINGLE) -> np.ndarray:
@@ -198,8 +198,8 @@ def jaccard_components(
 
     counts = texts.select("text").mapInArrow(_count_batches(shingle, counted), "token bigint, times bigint")
     often = counts.groupBy("token").agg(F.sum("times").alias("times")).where(F.col("times") >= OFTEN)
-    rows = often.orderBy(F.desc("times"), "token").limit(FREQUENT).select("token").collect()
-    frequent = np.sort(np.array([r.token for r in rows], np.int64).view(np.uint64))
+    rows = often.orderBy(F.desc("times"), "token").limit(FREQUENT).select("token").toArrow()
+    frequent = np.sort(rows.column("token").to_numpy().astype(np.int64).view(np.uint64))
 
     prefixes = texts.mapInArrow(_prefix_batches(shingle, percent, matches, frequent, counted), "doc_id bigint, n bigint, key binary, prefix array<bigint>")
     every = stage.table(prefixes, "prefixes")
