@@ -36,7 +36,7 @@ CLASSES = 511
 #: Length of the word vectors.
 WIDTH = 16
 #: Words that are looked up in the tasks, each of LONGEST bytes at most: the size of what is broadcast is bounded.
-HEAVY = 200_000
+HEAVY = 300_000
 LONGEST = 64
 NOISE = 32
 RATE = 0.1
@@ -193,6 +193,26 @@ def _average(parts: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"part": [parts["part"].min() // FAN_IN], "weight": [weight], "params": [(total / weight).astype(np.float32).tobytes()]})
 
 
+def _most_frequent(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
+    """The words that occur at least so often that `most` of them are not exceeded, most frequent first.
+
+    A histogram of bounded size (eighths of powers of two) gives the count; only the words above it are read.
+    """
+    known = counts.where(F.length("word") <= LONGEST)
+    bin_of = F.floor(F.log2("c") * 8).cast("int")
+    sizes = {r.bin: r["count"] for r in known.select(bin_of.alias("bin")).groupBy("bin").count().collect()}
+    total, least = 0, None
+    for b in sorted(sizes, reverse=True):
+        total += sizes[b]
+        if total > most:
+            break
+        least = b
+    if least is None:
+        return []
+    got = known.where(bin_of >= least).select("word", "c").toArrow()
+    return sorted(zip(got.column("word").to_pylist(), got.column("c").to_pylist(), strict=True), key=lambda x: (-x[1], x[0]))
+
+
 @dataclass
 class Fitted:
     counts: DataFrame  # word binary, c bigint
@@ -215,8 +235,7 @@ def fit(docs: DataFrame, stage: Staging, *, classes: int = CLASSES, heavy: int =
         F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v"), F.count_if(F.col("c") == 1).alias("once"), F.count_if(F.col("c") == 2).alias("twice")
     ).first()
     discount = min(max(total.once / max(total.once + 2 * total.twice, 1), 0.1), 0.9)
-    top = counts.where(F.length("word") <= LONGEST).orderBy(F.desc("c"), "word").limit(heavy).collect()
-    top = [(bytes(r.word), r.c) for r in top]
+    top = _most_frequent(counts, heavy)
     k = min(classes, len(top))
     inside = np.array([c for _, c in top[:k]] + [max(total.n - sum(c for _, c in top[:k]), 0) + 1], float)
     shares = inside / inside.sum()
