@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blocklog.llm import decontamination, language_model, line_dedup, ngram_join, packing, quality_rules
+from blocklog.llm import decontamination, language_id, language_model, line_dedup, ngram_join, packing, quality_classifier, quality_rules
+from blocklog.llm.text import remainder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +19,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = language_id.identify_languages(docs, language_id.fit_languages(docs))
+    return found.select("doc_id", (remainder(F.col("doc_id"), 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document: its lines, those that went, the documents that keep them, and what is left."""
     docs = _table(spark, sf_dir, "documents")
@@ -43,16 +50,25 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(docs, model)
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = quality_classifier.fit_quality(docs, _table(spark, sf_dir, "labels"))
+    scored = quality_classifier.score_quality(docs, model)
+    return scored.select("doc_id", (remainder(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score_documents(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op2_line_dedup": op2_line_dedup,
     "op3_packing": op3_packing,
     "op4_decontamination": op4_decontamination,
     "op6_ngram_join": op6_ngram_join,
     "op7_quality_rules": op7_quality_rules,
+    "op8_quality_classifier": op8_quality_classifier,
     "op9_language_model": op9_language_model,
 }
 
