@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blocklog.llm import decontamination, language_id, language_model, line_dedup, ngram_join, packing, quality_classifier, quality_rules
+from blocklog.llm import (
+    decontamination,
+    html_text,
+    language_id,
+    language_model,
+    line_dedup,
+    ngram_join,
+    packing,
+    quality_classifier,
+    quality_rules,
+    url_filter,
+)
 from blocklog.llm.text import remainder
 
 
@@ -40,6 +51,13 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.decontaminate_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+URL_RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_urls(_table(spark, sf_dir, "pages"), [url_filter.parse_rule(*r) for r in URL_RULES])
+
+
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"))
 
@@ -61,15 +79,21 @@ def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score_documents(_table(spark, sf_dir, "documents"))
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(_table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_line_dedup": op2_line_dedup,
     "op3_packing": op3_packing,
     "op4_decontamination": op4_decontamination,
+    "op5_url_filter": op5_url_filter,
     "op6_ngram_join": op6_ngram_join,
     "op7_quality_rules": op7_quality_rules,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_language_model": op9_language_model,
+    "op10_html_text": op10_html_text,
 }
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
