@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from blocklog.llm.bitmap import bitmap, in_map
 from blocklog.llm.components import connected_components
 from blocklog.llm.text import lower_words, mix, word_hashes
 from blocklog.session import Staging
@@ -32,7 +33,7 @@ PERCENT = 90
 #: Most shared shingles that a class asks for.
 MATCHES = 3
 #: Lists up to this length are paired out.
-SHORT = 16
+SHORT = 64
 #: Candidates that a class takes with one or two matches before it asks for one more.
 CHEAP = (4, 12)
 #: Shingles whose hash lies in this part of all are counted.
@@ -98,10 +99,13 @@ def _prefix_batches(size: int, percent: int, matches: int, frequent: np.ndarray,
     return run
 
 
-def _set_batches(size: int):
+def _set_batches(size: int, wanted):
+    """Sets of the documents whose ids the map may hold."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
         for batch in batches:
+            batch = batch.filter(pa.array(in_map(batch.column(0).to_numpy(), wanted.value)))
             sets = [shingle_set(lower_words(t.as_py()), known, size).tobytes() for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["rep", "tokens"])
 
@@ -245,8 +249,10 @@ def jaccard_components(
     around = stage.table(large.join(centres, "token").select(F.col("rep").alias("x"), "c").distinct(), "around")
 
     needed = pairs.select(F.explode(F.array("a", "b")).alias("rep")).unionByName(around.select(F.explode(F.array("x", "c")).alias("rep"))).distinct()
-    found = texts.join(needed, texts["doc_id"] == needed["rep"], "left_semi").select("doc_id", "text")
-    sets = stage.table(found.mapInArrow(_set_batches(shingle), "rep bigint, tokens binary").distinct(), "sets")
+    needed = stage.table(needed, "needed")
+    wanted = spark.sparkContext.broadcast(bitmap(needed.select(F.col("rep").alias("key"))))
+    found = texts.where("doc_id is not null").mapInArrow(_set_batches(shingle, wanted), "rep bigint, tokens binary")
+    sets = stage.table(found.join(needed, "rep", "left_semi").distinct(), "sets")
 
     def with_sets(two: DataFrame, a: str, b: str) -> DataFrame:
         first = two.join(sets.select(F.col("rep").alias(a), F.col("tokens").alias("tokens_a")), a)
