@@ -90,7 +90,7 @@ def log_bounds(spark, sf_dir):
 
 @query
 def chunk_ranges(spark, sf_dir):
-    return backup.chunk_ranges(fx.backup_log(spark, sf_dir))
+    return backup.chunk_ranges(fx.backup_log(spark, sf_dir).drop(HEIGHT))
 
 
 @query
@@ -411,7 +411,8 @@ def resume_seq(spark, sf_dir):
 def resume_chunk(spark, sf_dir):
     rows = fx.backup_log(spark, sf_dir)
     tips = rows.groupBy(STREAM).agg(F.expr("max(height) div 2 + 7").alias(HEIGHT))
-    return resume.resume_chunk(backup.chunk_ranges(rows), rows, tips, 150, 90001)
+    end = rows.agg(F.max(SEQ)).first()[0]
+    return resume.resume_chunk(backup.chunk_ranges(rows), tips, 150, end)
 
 
 @query
@@ -548,6 +549,18 @@ def bridge_batch(spark, sf_dir):
     return _copied(output)
 
 
+@query
+def bridge_restart(spark, sf_dir):
+    """A copy that is cut in the middle of each log and started again must end like one in one go."""
+    messages = _messages(spark, sf_dir)
+    output = _output(spark, messages)
+    rules = bridge_rules(mode="nested", tolerance=10**9)
+    middle = messages.agg(F.expr(f"(min({SEQ}) + max({SEQ})) div 2")).first()[0]
+    transfer.bridge(messages.where(F.col(SEQ) < middle), output, rules)
+    transfer.bridge(messages, output, rules)
+    return output.rows().select(STREAM, "out_seq", HEIGHT, HASH)
+
+
 @query
 def bridge_stream(spark, sf_dir):
     messages = _messages(spark, sf_dir)
@@ -605,6 +618,19 @@ def restore_batch(spark, sf_dir):
     return output.rows().select(STREAM, "out_seq", HEIGHT, HASH)
 
 
+@query
+def restore_restart(spark, sf_dir):
+    """A restore of a written backup, first of its first half and then of all of it."""
+    valid, path = _valid_backup(spark, sf_dir), _folder(spark, "backup")
+    backup.write_backup(valid, path, max_entries=200, split_at_holes=False)
+    stored = backup.read_backup(spark, path, schema=valid.schema)
+    output = _output(spark, valid)
+    middle = valid.agg(F.expr(f"(min({SEQ}) + max({SEQ})) div 2")).first()[0]
+    for end in (middle, 2**62):
+        transfer.restore(stored, output, restore_rules(mode="nested", start=1, end=end, tolerance=10**9))
+    return output.rows().select(STREAM, "out_seq", HEIGHT, HASH)
+
+
 @query
 def restore_stream(spark, sf_dir):
     valid = _valid_backup(spark, sf_dir)

@@ -430,15 +430,17 @@ path AS (
     # transfer
     "resume_seq": _on(
         "block compare",
-        """SELECT b.stream_id, coalesce(max(CASE WHEN json_valid(payload) AND b.height <= t.height AND seq >= 500 THEN seq END),
+        """SELECT b.stream_id, coalesce(min(CASE WHEN json_valid(payload) AND b.height > t.height AND seq >= 500 THEN seq END),
+             max(CASE WHEN t.height IS NOT NULL AND seq >= 500 THEN seq END),
              least(greatest(500, min(seq)), max(seq))) AS resume_seq
            FROM block_log b LEFT JOIN tips t ON t.stream_id = b.stream_id GROUP BY 1""",
         _TIPS,
     ),
     "resume_chunk": _on(
         "backup",
-        f"""SELECT CAST(0 AS BIGINT) AS stream_id, coalesce(max(CASE WHEN l <= {_HALF} THEN l END), min(l)) AS chunk_start
-           FROM (SELECT chunk_id, min(seq) AS l, max(seq) AS r FROM backup_log GROUP BY 1) WHERE r >= 150 AND l < 90001""",
+        f"""SELECT CAST(0 AS BIGINT) AS stream_id, coalesce(min(CASE WHEN top > {_HALF} THEN l END), max(l)) AS chunk_start
+           FROM (SELECT chunk_id, min(seq) AS l, max(seq) AS r, max(height) AS top FROM backup_log GROUP BY 1)
+           WHERE r >= 150 AND l < (SELECT max(seq) FROM backup_log)""",
     ),
     "backfill": _on(
         "full backup",
@@ -463,6 +465,8 @@ path AS (
     ),
     "backup_batch": _on("full", _STORED),
     "backup_stream": _on("full", _STORED),
+    "bridge_restart": _gate("SELECT stream_id, out_seq, height, hash FROM gate WHERE label = 'ACCEPTED'"),
+    "restore_restart": _on("valid", "SELECT stream_id, out_seq, height, hash FROM gate WHERE label = 'ACCEPTED'", _GATE),
     "restore_batch": _on(
         "valid",
         """SELECT g.stream_id, g.out_seq, g.height, g.hash FROM gate g LEFT JOIN rcuts c ON c.stream_id = g.stream_id

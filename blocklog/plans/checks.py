@@ -66,6 +66,10 @@ def compare_logs(
     )
 
 
+class SequenceGap(RuntimeError):
+    """A log whose rows do not follow each other."""
+
+
 class SizeState:
     """Size distributions kept in a folder, one version per run, with the last sequence counted."""
 
@@ -97,8 +101,12 @@ class SizeState:
         start: int = 1,
         end: int = 0,
         resolution_kb: int = 64,
+        ignore_gaps: bool = False,
     ) -> DataFrame:
-        """Add the rows after the last counted sequence of each log; returns the new distribution."""
+        """Add the rows after the last counted sequence of each log; returns the new distribution.
+
+        Fails, with nothing counted, where a sequence is left out or repeated, unless ``ignore_gaps``.
+        """
         kind = log.schema[STREAM].dataType.simpleString()
         mark = self.progress(kind)
         fresh = (
@@ -106,6 +114,15 @@ class SizeState:
             .join(mark, STREAM, "left")
             .where(F.col(SEQ) > F.coalesce("last_processed_seq", F.lit(0)))
         )
+        if not ignore_gaps:
+            ends = fresh.groupBy(STREAM).agg(
+                F.min(SEQ).alias("l"), F.max(SEQ).alias("r"), F.count("*").alias("n"),
+                F.max("last_processed_seq").alias("last"),
+            )
+            inside = F.col("n") != F.col("r") - F.col("l") + 1
+            gap = ends.where(inside | (F.col("last").isNotNull() & (F.col("l") != F.col("last") + 1))).first()
+            if gap is not None:
+                raise SequenceGap(f"log {gap[STREAM]}: {gap['n']} rows from {gap['l']} to {gap['r']} after {gap['last']}")
         new = stats.size_distribution(fresh, packed, unpacked, resolution_kb)
         seen = fresh.groupBy(STREAM).agg(F.max(SEQ).alias("last_processed_seq"))
         progress = mark.unionByName(seen).groupBy(STREAM).agg(

@@ -17,6 +17,7 @@ from blocklog.functions.decode import decode, payload_key
 from blocklog.model import ERROR, HASH, HEIGHT, PAYLOAD, PREV_HASH, SEQ, STREAM
 from blocklog.operators import audit, compare
 from blocklog.operators.prefix import DEFAULT_WIDTH
+from blocklog.plans.verified import OutOfOrder
 from blocklog.session import Staging, child_names
 
 SIDE = "side"
@@ -31,6 +32,11 @@ class IncrementalCompare:
     mode: str
     stream_type: T.DataType
     width: int = DEFAULT_WIDTH
+    on_disorder: str = "fail"
+
+    def __post_init__(self):
+        if self.on_disorder not in ("fail", "skip"):
+            raise ValueError("on_disorder should be fail or skip")
 
     def _schema(self, part: str) -> T.StructType:
         names = {
@@ -55,10 +61,15 @@ class IncrementalCompare:
         return self.spark.read.parquet(f"{self.path}/findings")
 
     def __call__(self, rows: DataFrame, batch: int) -> None:
-        """Process a batch of messages of both sides (column ``side``: A or B)."""
+        """Process a batch of messages of both sides (column ``side``: A or B).
+
+        A batch that goes back behind the last decoded row of a side fails, or with ``on_disorder`` of
+        ``skip`` goes on without the rows before it.
+        """
         staging = Staging(self.spark)
         marks = staging.table(self._read("marks", batch), "marks")
         open_rows = staging.table(self._read("open", batch), "open")
+        rows = self._in_order(rows, marks)
         decoded = decode(rows, self.mode).withColumn("key", payload_key(F.col(PAYLOAD)))
         sides = {
             name: staging.table(self._side(decoded, marks, name), f"side-{name}")
@@ -116,6 +127,18 @@ class IncrementalCompare:
             table.write.mode("overwrite").parquet(f"{self.path}/{part}/batch_id={batch}")
         staging.drop()
 
+    def _in_order(self, rows: DataFrame, marks: DataFrame) -> DataFrame:
+        last = marks.select(STREAM, SIDE, F.col(SEQ).alias("last_seq"))
+        if self.on_disorder == "skip":
+            joined = rows.join(last, [STREAM, SIDE], "left")
+            fine = F.col("last_seq").isNull() | (F.col(SEQ) > F.col("last_seq"))
+            return joined.where(fine).select(*rows.columns)
+        first = rows.groupBy(STREAM, SIDE).agg(F.min(SEQ).alias("first"))
+        behind = first.join(last, [STREAM, SIDE]).where(F.col("first") <= F.col("last_seq")).first()
+        if behind is not None:
+            raise OutOfOrder(f"log {behind[STREAM]}, side {behind[SIDE]}: sequence {behind['first']} after {behind['last_seq']}")
+        return rows
+
     def _side(self, decoded: DataFrame, marks: DataFrame, name: str) -> DataFrame:
         """New rows of one side with what they need of the rows before, old ones included.
 

@@ -70,15 +70,15 @@ def test_resume_points(spark):
 
     none = tip(1).where("false")
     assert at(none) == {1: 5} and at(none, 6) == {1: 6} and at(none, 99) == {1: 10} and at(none, 2) == {1: 5}
-    assert at(tip(12)) == {1: 9} and at(tip(12), 0, 9) == {1: 7} and at(tip(3)) == {1: 5} and at(tip(99)) == {1: 10}
+    assert at(tip(11)) == {1: 7} and at(tip(12)) == {1: 10} and at(tip(12), 0, 9) == {1: 7} and at(tip(3)) == {1: 5} and at(tip(99)) == {1: 10}
     assert at(tip(4, 2)) == {1: 5, 2: 1}
-    chunks = spark.createDataFrame([(1, 5, 6), (1, 7, 8), (1, 10, 12)], "stream_id bigint, l bigint, r bigint")
+    chunks = spark.createDataFrame([(1, 5, 6, 10), (1, 7, 8, 12), (1, 10, 12, 15)], "stream_id bigint, l bigint, r bigint, top bigint")
 
     def chunk(tips, start, end):
-        r = resume.resume_chunk(chunks, decoded, tips, start, end).first()
+        r = resume.resume_chunk(chunks, tips, start, end).first()
         return r and r.chunk_start
 
-    assert chunk(none, 1, 99) == 5 and chunk(tip(12), 1, 99) == 7 and chunk(tip(99), 1, 10) == 7
+    assert chunk(none, 1, 99) == 5 and chunk(tip(11), 1, 99) == 7 and chunk(tip(12), 1, 99) == 10 and chunk(tip(99), 1, 10) == 7
     assert chunk(tip(1), 7, 99) == 7 and chunk(tip(1), 13, 99) is None
 
 
@@ -92,5 +92,7 @@ def test_backfill_and_sinks(spark, tmp_path):
     assert seqs(sinks.oversize(big, F.col("text"), 9 / 1024)) == [10]
     sinks.dump_oversize(big, F.col("text"), str(tmp_path / "dump"), 8 / 1024)
     assert seqs(spark.read.text(str(tmp_path / "dump"))) == [9, 10]
+    sinks.dump_oversize(big, F.col("text"), str(tmp_path / "dump"), 9 / 1024)
+    assert seqs(spark.read.text(str(tmp_path / "dump"))) == [9, 10]
     sinks.write_findings(source, str(tmp_path / "found"))
     assert "found_at" in spark.read.parquet(str(tmp_path / "found")).columns

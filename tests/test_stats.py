@@ -1,7 +1,8 @@
+import pytest
 from pyspark.sql import functions as F
 
 from blocklog.operators import stats
-from blocklog.plans.checks import SizeState
+from blocklog.plans.checks import SequenceGap, SizeState
 
 
 def test_histograms(spark):
@@ -25,6 +26,12 @@ def test_size_state_resumes(spark, tmp_path):
     want = stats.size_distribution(rows, *args, 1)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     assert state.progress().first().last_processed_seq == 10
+    later = rows.withColumn("seq", F.col("seq") + 11)
+    with pytest.raises(SequenceGap):
+        state.update(later, *args)
+    assert state.progress().first().last_processed_seq == 10
+    state.update(later, *args, ignore_gaps=True)
+    assert state.progress().first().last_processed_seq == 21
 
 
 def test_status_lines(spark):

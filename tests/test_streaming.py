@@ -6,7 +6,7 @@ from blocklog import fixtures as fx
 from blocklog.functions import decode as D
 from blocklog.operators import compare
 from blocklog.operators.gate import write_gate
-from blocklog.plans.verified import VerifiedOutput, bridge_rules
+from blocklog.plans.verified import OutOfOrder, VerifiedOutput, bridge_rules
 from blocklog.sources import log
 from blocklog.streaming import jobs
 from blocklog.streaming.compare import IncrementalCompare
@@ -74,3 +74,18 @@ def test_listener_sees_the_counters(spark, sf_dir, tmp_path):
     seen = [p for p in listener.progress if p["name"] == "reader"]
     assert sum(p["reads"] for p in seen) == messages.count()
     assert max(p["reader_seq"] for p in seen if p["reader_seq"]) == messages.agg(F.max("seq")).first()[0]
+
+
+def test_compare_incremental_guards_the_order(spark, tmp_path):
+    def batch(*seqs):
+        rows = [(1, q, f'{{"block":{{"header":{{"hash":"h{q}","prev_hash":"h{q - 1}","height":{q}}}}}}}', side) for q in seqs for side in "AB"]
+        return spark.createDataFrame(rows, "stream_id bigint, seq bigint, payload string, side string")
+
+    job = IncrementalCompare(spark, str(tmp_path / "fail"), "nested", batch(1).schema["stream_id"].dataType)
+    job(batch(3, 4), 0)
+    with pytest.raises(OutOfOrder):
+        job(batch(1, 2), 1)
+    job = IncrementalCompare(spark, str(tmp_path / "skip"), "nested", batch(1).schema["stream_id"].dataType, on_disorder="skip")
+    for n, seqs in enumerate([(3, 4), (1, 2, 5)]):
+        job(batch(*seqs), n)
+    assert job.findings().count() == 0

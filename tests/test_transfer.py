@@ -84,8 +84,9 @@ def test_tolerance_run_goes_on_across_batches(spark, tmp_path, cut):
     assert written(output) == [(1, 1), (2, 2)]
     assert output.state().first().stopped
     with pytest.raises(ToleranceExceeded):
-        transfer.bridge(messages(spark, payloads), output, bridge_rules(tolerance=3))
-    transfer.bridge(messages(spark, payloads), output, bridge_rules(tolerance=4))
+        # The corrupt row before the first higher one is not read again.
+        transfer.bridge(messages(spark, payloads), output, bridge_rules(tolerance=2))
+    transfer.bridge(messages(spark, payloads), output, bridge_rules(tolerance=3))
     assert written(output)[-1] == (3, 3)
 
 
@@ -155,3 +156,43 @@ def test_existing_output_is_adopted_unless_its_tip_is_corrupt(spark, tmp_path):
     assert written(output) == [(i, i) for i in range(4, 9)]
     with pytest.raises(Exception, match="corrupt tip"):
         VerifiedOutput(spark, str(tmp_path / "other")).adopt(messages(spark, [CHAIN[0], BAD]), "nested")
+
+
+@pytest.mark.parametrize("cut", range(1, 9))
+def test_a_restarted_copy_loses_no_row_behind_a_replay(spark, tmp_path, cut):
+    heights = [1, 2, 3, 4, 5, 3, 6, 7]
+    rows = messages(spark, [block(h, f"h{h}", f"h{h - 1}") for h in heights])
+    output = VerifiedOutput(spark, str(tmp_path / "out"))
+    rules = bridge_rules(tolerance=9)
+    transfer.bridge(rows.where(F.col("seq") <= cut), output, rules)
+    transfer.bridge(rows, output, rules)
+    assert written(output) == [(i, i) for i in range(1, 8)]
+
+
+def test_a_restarted_restore_finds_rows_in_a_chunk_that_begins_with_a_replay(spark, tmp_path):
+    rows = messages(spark, [block(h, f"h{h}", f"h{h - 1}") for h in [1, 2, 3, 4, 5, 3, 6, 7]])
+    rows = rows.withColumn("chunk_id", F.expr("case when seq <= 5 then 1L else 6L end"))
+    output = VerifiedOutput(spark, str(tmp_path / "out"))
+    for end in (4, 99):
+        transfer.restore(rows, output, restore_rules(start=1, end=end, tolerance=9))
+    assert written(output) == [(i, i) for i in range(1, 8)]
+
+
+def test_a_batch_that_was_cut_off_does_not_count(spark, tmp_path):
+    output = VerifiedOutput(spark, str(tmp_path / "out"))
+    rules = bridge_rules(tolerance=3)
+    transfer.bridge(messages(spark, CHAIN[:3]), output, rules)
+    (tmp_path / "out/state/batch_id=1/_temporary").mkdir(parents=True)
+    output.write("rows", 1, output.rows().drop("batch_id"))
+    assert output.batches() == [0] and written(output) == [(1, 1), (2, 2), (3, 3)]
+    transfer.bridge(messages(spark, CHAIN), output, rules)
+    assert written(output) == [(i, i) for i in range(1, 9)]
+
+
+def test_a_backup_is_read_from_within_a_chunk(spark, tmp_path):
+    path, rows = str(tmp_path / "backup"), messages(spark, CHAIN)
+    B.write_backup(rows.where("seq <> 5"), path, max_entries=4, split_at_holes=False)
+    B.write_backup(rows.where("seq = 5"), path)
+    got = B.read_backup(spark, path, schema=rows.schema, from_chunk=6)
+    assert {r.seq for r in got.collect()} >= {6, 7, 8} and got.where("seq < 5").count() == 0
+    assert {r.seq for r in B.read_backup(spark, path, schema=rows.schema, from_chunk=3).collect()} == set(range(1, 9))
