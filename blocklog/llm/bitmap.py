@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: 8 MB. A fuller map lets more rows through to the join behind it and loses none.
@@ -20,6 +22,18 @@ def bitmap(keys: DataFrame, bits: int = BITS) -> np.ndarray:
     return filled
 
 
+def bitmap_test(keys: DataFrame, bits: int = 1 << 20) -> Callable[[Column], Column]:
+    """A test, in the JVM, whether a bigint column may be among the keys (column `key`); never null for a value."""
+    filled = ",".join(map(str, bitmap(keys, bits).view(np.int64).tolist()))
+    table = F.split(F.lit(filled), ",").cast("array<bigint>")  # folded to a constant
+
+    def test(key: Column) -> Column:
+        word = F.get(table, F.shiftrightunsigned(key, 6).bitwiseAND(F.lit(bits // 64 - 1)).cast("int"))
+        return F.getbit(word, key.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+    return test
+
+
 def in_map(keys: np.ndarray, filled: np.ndarray) -> np.ndarray:
     bit = keys.view(np.uint64)
     word = filled[((bit >> np.uint64(6)) & np.uint64(len(filled) - 1)).astype(np.int64)]

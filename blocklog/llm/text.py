@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column
@@ -50,6 +52,19 @@ def mix(values: np.ndarray) -> np.ndarray:
     return x
 
 
+_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of BASE and of its inverse; kept for the next call."""
+    if len(_POWERS[0]) < n:
+        for k, base in enumerate((BASE, _INVERSE)):
+            table = np.full(max(n, 1 << 16), base, np.uint64)
+            table[0] = 1
+            _POWERS[k] = np.cumprod(table)
+    return _POWERS[0][:n], _POWERS[1][:n]
+
+
 class Rolling:
     """Hashes of any stretch of a sequence of numbers from one cumulative sum, modulo 2**64.
 
@@ -58,25 +73,49 @@ class Rolling:
 
     def __init__(self, symbols: np.ndarray):
         n = len(symbols)
-        self._powers = np.ones(n + 1, np.uint64)
-        self._powers[1:] = np.uint64(BASE)
-        np.cumprod(self._powers, out=self._powers)
-        down = np.ones(n, np.uint64)
-        down[1:] = np.uint64(_INVERSE)
-        np.cumprod(down, out=down)
+        self._powers, down = _powers(n + 1)
         self._sums = np.zeros(n + 1, np.uint64)
-        np.cumsum((symbols.astype(np.uint64) + np.uint64(1)) * down, out=self._sums[1:])
+        np.cumsum((symbols.astype(np.uint64) + np.uint64(1)) * down[:n], out=self._sums[1:])
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mix((self._sums[end] - self._sums[start]) * self._powers[start] + (end - start).astype(np.uint64))
 
 
-def word_hashes(tokens: list[bytes], known: dict[bytes, int], most: int = 400_000) -> np.ndarray:
-    """64-bit hashes of words; `known` remembers those seen before and is emptied when it is full."""
-    from xxhash import xxh3_64_intdigest
-
-    if len(known) > most:
-        known.clear()
-    for word in set(tokens).difference(known):
-        known[word] = xxh3_64_intdigest(word)
-    return np.fromiter(map(known.__getitem__, tokens), np.uint64, len(tokens))
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+
+
+@dataclass
+class HashedWords:
+    """Words (see `words`) of some texts in a row: 64-bit hashes, line in the text, and where each text's begin."""
+
+    first: int  # number of the first text
+    bounds: np.ndarray  # of words, one more than texts
+    hashes: np.ndarray
+    lines: np.ndarray
+
+
+def hashed_words(texts: list[str | None], *, lower: bool = False, chunk: int = 1 << 20) -> Iterator[HashedWords]:
+    """All words of the texts, in chunks of about `chunk` bytes; a longer text is handled alone."""
+    at, size = 0, 0
+    for k, text in enumerate(texts):
+        if k > at and size + len(text or "") > chunk:
+            yield _hash_chunk(texts[at:k], at, lower)
+            at, size = k, 0
+        size += len(text or "")
+    if texts:
+        yield _hash_chunk(texts[at:], at, lower)
+
+
+def _hash_chunk(texts: list[str | None], first: int, lower: bool) -> HashedWords:
+    data = [(t or "").encode() for t in texts]
+    joined = b"\n".join(data)
+    symbols = np.frombuffer(joined.lower() if lower else joined, np.uint8)
+    inside = np.concatenate([[False], ~_SPACE[symbols], [False]])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    begins = np.cumsum([0] + [len(d) + 1 for d in data])
+    bounds = np.searchsorted(starts, begins)
+    line = np.searchsorted(np.flatnonzero(symbols == 10), starts) if len(starts) else starts
+    text_lines = np.cumsum([0] + [d.count(b"\n") + 1 for d in data])[:-1]
+    return HashedWords(first, bounds, Rolling(symbols).of(starts, ends), line - np.repeat(text_lines, np.diff(bounds)))
