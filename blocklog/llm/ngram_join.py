@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from blocklog.llm.bitmap import bitmap, in_map
 from blocklog.llm.components import connected_components
-from blocklog.llm.text import lower_words, mix, word_hashes
+from blocklog.llm.text import hashed_words, mix
 from blocklog.session import Staging
 
 SHINGLE = 3
@@ -43,16 +43,28 @@ OFTEN = 8
 FREQUENT = 1 << 19
 
 
-def shingle_set(tokens: list[bytes], known: dict[bytes, int], size: int = SHINGLE) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the shingles; fewer words than `size` are one shingle, none give none."""
-    if not tokens:
-        return np.empty(0, np.uint64)
-    hashes = word_hashes(tokens, known)
-    width = min(size, len(tokens))
-    total = np.full(len(tokens) - width + 1, width, np.uint64)
-    for k in range(width):
-        total = mix(total + hashes[k : len(tokens) - width + 1 + k])
-    return np.unique(total)
+def shingle_sets(texts: list[str | None], size: int = SHINGLE) -> Iterator[np.ndarray]:
+    """For each text the sorted distinct 64-bit hashes of its shingles; fewer words than `size` are one shingle, none give none."""
+    for got in hashed_words(texts, lower=True):
+        runs = _runs(got.hashes, size)
+        for start, end in zip(got.bounds[:-1].tolist(), got.bounds[1:].tolist(), strict=True):
+            n = min(size, end - start)
+            if not n:
+                yield np.empty(0, np.uint64)
+            elif n < size:
+                yield _runs(got.hashes[start:end], n)
+            else:
+                some = np.sort(runs[start : end - size + 1])
+                yield some[np.concatenate([[True], some[1:] != some[:-1]])]
+
+
+def _runs(hashes: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of all runs of n words."""
+    count = max(len(hashes) - n + 1, 0)
+    total = np.full(count, n, np.uint64)
+    for k in range(n):
+        total = mix(total + hashes[k : count + k])
+    return total
 
 
 def _least_overlap(n: np.ndarray | int, percent: int):
@@ -63,9 +75,8 @@ def _count_batches(size: int, counted: float):
     limit = np.uint64(int(counted * 2**64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, int] = {}
         for batch in batches:
-            sets = [shingle_set(lower_words(t.as_py()), known, size) for t in batch.column(0)]
+            sets = list(shingle_sets(batch.column(0).to_pylist(), size))
             low = [s[: np.searchsorted(s, limit)] for s in sets]
             token, times = np.unique(np.concatenate(low) if low else np.empty(0, np.uint64), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(times)], ["token", "times"])
@@ -83,11 +94,9 @@ def _ordered(tokens: np.ndarray, frequent: np.ndarray, counted: float) -> np.nda
 
 def _prefix_batches(size: int, percent: int, matches: int, frequent: np.ndarray, counted: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, int] = {}
         for batch in batches:
             sizes, keys, prefixes = [], [], []
-            for t in batch.column(1):
-                s = shingle_set(lower_words(t.as_py()), known, size)
+            for s in shingle_sets(batch.column(1).to_pylist(), size):
                 n = len(s)
                 sizes.append(n)
                 keys.append(blake2b(s.tobytes(), digest_size=16).digest())
@@ -103,10 +112,9 @@ def _set_batches(size: int, wanted):
     """Sets of the documents whose ids the map may hold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, int] = {}
         for batch in batches:
             batch = batch.filter(pa.array(in_map(batch.column(0).to_numpy(), wanted.value)))
-            sets = [shingle_set(lower_words(t.as_py()), known, size).tobytes() for t in batch.column(1)]
+            sets = [s.tobytes() for s in shingle_sets(batch.column(1).to_pylist(), size)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["rep", "tokens"])
 
     return run
