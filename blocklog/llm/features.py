@@ -69,6 +69,7 @@ class Features:
         yield self._place(hashes, group), low, high
         pairs = mix(hashes[:-1] * np.uint64(3) + hashes[1:])
         pairs[hashes[:-1] == hashes[1:]] = np.uint64(BASE)  # a word that follows itself, whatever the word
+        low = np.minimum(low, len(pairs))
         yield self._place(pairs, group + 1), low, np.maximum(low, high - 1)
 
     def chunks(self, texts: list[str]) -> Iterator[tuple[int, int]]:
