@@ -25,9 +25,10 @@ def connected_components(edges: DataFrame, stage: Staging) -> DataFrame:
             ).distinct()
         mark = (seen.n, seen.s)
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # Staged, so that the join deals both sides by a shuffle of its own and a hot node's rows can be split.
+        least = stage.table(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least-of-all")
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = stage.table(large.where("u <> v").distinct(), "large-star")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = stage.table(large.groupBy("u").agg(F.min("v").alias("m")), "least-of-large")
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
         now = stage.table(small.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "small-star")

@@ -254,6 +254,7 @@ def jaccard_components(
 
     large = listed.where(F.col("size") > short).join(chosen, "rep").select("token", "rep", "own")
     centres = large.groupBy("token").agg(F.min(F.struct("own", "rep")).alias("c")).select("token", F.col("c.rep").alias("c"))
+    centres = stage.table(centres, "centres")  # staged, so that the rows of a long list can be split in the join
     around = stage.table(large.join(centres, "token").select(F.col("rep").alias("x"), "c").distinct(), "around")
 
     needed = pairs.select(F.explode(F.array("a", "b")).alias("rep")).unionByName(around.select(F.explode(F.array("x", "c")).alias("rep"))).distinct()
