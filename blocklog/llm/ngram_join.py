@@ -151,8 +151,10 @@ def _differences(percent: int, frequent: np.ndarray, counted: float):
     D = (n(x) + n(y)) (100 - percent) / (100 + percent) shingles, so their differences share at least
     (d(x) + d(y) - D) / 2. A pair to be found has one member that does not link with c, d > (n + n(c)) q. Hence
 
-    - each member's `half` prefix allows for d(y) just over that bound: at least (d(x) + (n(c) - n(x)) q) / 2 shared;
-    - a member without a link, met by one with a link, shares at least d(x) - D(x, largest possible y): `long` prefix;
+    - any pair shares at least d(x) - D(x, largest possible y), as d(y) >= d(x) - D: `long` prefix;
+    - each member's `half` prefix allows in addition for d(y) just over the bound of a link: at least
+      (d(x) + (n(c) - n(x)) q) / 2 shared; a member without a link is met under it by its like, and under its `long`
+      prefix by members with a link;
     - a pair that shares none has d(x) + d(y) <= D, so y is within (n(y) - n(c)) q + 1 of c: key `near`.
 
     A key's role is U (no link with c), L (link), N (so near to c) or G (meets N).
@@ -172,8 +174,8 @@ def _differences(percent: int, frequent: np.ndarray, counted: float):
                 d = n + m - 2 * both
                 linked = 100 * both >= percent * (n + m - both)
                 order = np.concatenate([_ordered(a[~in_c], frequent, counted), b[~in_x]]).view(np.int64)
-                half = d - max(1, int(np.ceil((d + (m - n) * q) / 2 - 1e-9))) + 1
                 long = d - max(1, d - int(n * (1 + most) * q + 1e-9)) + 1
+                half = min(long, d - max(1, int(np.ceil((d + (m - n) * q) / 2 - 1e-9))) + 1)
                 near = d <= (n - m) * q + 1 + 1e-9
                 row = (x_id.as_py(), c_id.as_py(), n, d, linked, order[: max(half, 0)], [] if linked else order[: max(long, 0)], near)
                 for column, value in zip(out, row, strict=True):
