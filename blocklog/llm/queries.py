@@ -39,7 +39,7 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document: its lines, those that went, the documents that keep them, and what is left."""
     docs = _table(spark, sf_dir, "documents")
-    left = line_dedup.dedup_lines(docs.select("doc_id", "text", F.size(F.split("text", "\n", -1)).alias("n_lines")))
+    left = line_dedup.dedup_lines(docs.select("doc_id", "text", F.size(F.split("text", "\n", -1)).alias("n_lines")), most=None, least=1)
     return left.select("doc_id", "n_lines", F.size("removed_lines").alias("n_removed"), "removed_lines", "first_docs", "text")
 
 
