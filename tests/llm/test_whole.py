@@ -1,4 +1,4 @@
-"""Jobs that must be done whole, against brute force: near copies of the pipeline, long and short lines."""
+"""Jobs that must be done whole, against brute force: near copies of the pipeline, long and short lines, copied pages."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ import random
 import pytest
 
 import corpus_pipeline as cp
-from blocklog.llm import line_dedup, ngram_join
+from blocklog.llm import html_text, line_dedup, ngram_join
 from blocklog.llm.queries import op2_line_dedup
 from tests.llm import plain
 from tests.llm.data import SCHEMA, changed, hard_documents, prose
@@ -70,3 +70,12 @@ def test_stage_and_query_take_long_lines_whole(spark, tmp_path):
     assert {r.doc_id: list(r.removed_lines) for r in op2_line_dedup(spark, str(tmp_path)).collect()} == gone
     left = {i: "\n".join(line for k, line in enumerate(t.split("\n")) if k not in gone[i]) for i, t, *_ in rows}
     assert {r.doc_id: r.text for r in cp.drop_repeated_lines(spark, docs, "").collect()} == {i: t for i, t in left.items() if plain.spaced(t)}
+
+
+def test_copies_of_a_page_without_landmarks_keep_their_text(spark):
+    page = "<body><div class=top><p>Site name</p></div><div class=story><p>{}</p><p>{}</p></div></body>"
+    rows = [(k, f"http://d.org/{k}", page.format("copied story", "copied end")) for k in range(12)]
+    rows += [(k, f"http://d.org/{k}", page.format(f"story {k} " + "word " * k, f"end {k}")) for k in range(12, 17)]
+    got = {r.page_id: r.text for r in html_text.extract_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert {got[k] for k in range(12)} == {"copied story copied end"}
+    assert all(got[k].endswith(f"end {k}") and "Site name" not in got[k] for k in range(12, 17))
