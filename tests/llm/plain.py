@@ -60,13 +60,13 @@ class Groups:
         self.up[b] = a
 
 
-def jaccard_components(docs: list[tuple]) -> dict:
-    sets = [(i, shingles(t)) for i, t in docs]
+def jaccard_components(docs: list[tuple], size: int = 3, percent: int = 90) -> dict:
+    sets = [(i, shingles(t, size)) for i, t in docs]
     groups = Groups()
     for k, (i, a) in enumerate(sets):
         groups.find(i)
         for j, b in sets[:k]:
-            if a and b and 100 * len(a & b) >= 90 * len(a | b):
+            if a and b and 100 * len(a & b) >= percent * len(a | b):
                 groups.join(i, j)
     return {i: groups.find(i) for i, _ in docs}
 
