@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from blocklog.llm import (
     decontamination,
+    fill_in_middle,
     html_text,
     language_id,
     language_model,
@@ -83,6 +84,10 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(_table(spark, sf_dir, "pages"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.fill_in_middle(_table(spark, sf_dir, "documents"), keep_output=False).drop("output")
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_line_dedup": op2_line_dedup,
@@ -94,6 +99,7 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_language_model": op9_language_model,
     "op10_html_text": op10_html_text,
+    "op11_fill_in_middle": op11_fill_in_middle,
 }
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -139,4 +145,22 @@ reach(doc_id, root) AS (
   SELECT b, root FROM reach JOIN link ON reach.doc_id = a WHERE root < b)
 SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, min(root) AS component_id
 FROM d LEFT JOIN n USING (doc_id) JOIN reach USING (doc_id) GROUP BY ALL""",
+    "op11_fill_in_middle": """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS hex FROM documents),
+h AS (
+  SELECT doc_id, text, length(text) AS n, CAST('0x' || hex[1:8] AS BIGINT) AS h1, CAST('0x' || hex[9:16] AS BIGINT) AS h2,
+    CAST('0x' || hex[17:24] AS BIGINT) % 100 AS h3, CAST('0x' || hex[25:32] AS BIGINT) % 100 AS h4
+  FROM d),
+f AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS low, greatest(h1 % (n + 1), h2 % (n + 1)) AS high,
+    CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 >= 90 THEN 'plain'
+      WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM h)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN low END AS prefix_chars, CASE WHEN form <> 'plain' THEN high - low END AS middle_chars,
+  sha256(CASE form
+    WHEN 'plain' THEN text
+    WHEN 'psm' THEN '<P>' || substring(text, 1, low) || '<S>' || substring(text, high + 1, n - high) || '<M>' || substring(text, low + 1, high - low)
+    ELSE '<S>' || substring(text, high + 1, n - high) || '<P>' || substring(text, 1, low) || '<M>' || substring(text, low + 1, high - low) END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM f""",
 }

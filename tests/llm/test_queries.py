@@ -9,7 +9,7 @@ from blocklog.llm.queries import ORACLES
 
 def test_each_operator_and_the_pipeline_are_registered():
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert "pipeline" in names and set(ORACLES) <= set(entry.oracle_sql())
 
@@ -17,7 +17,7 @@ def test_each_operator_and_the_pipeline_are_registered():
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_oracle(spark, sf_dir, name):
     con = duckdb.connect()
-    for table in ("documents", "benchmark"):
+    for table in ("documents", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     got, want = entry.queries()[name](spark, sf_dir).toArrow(), con.execute(ORACLES[name]).to_arrow_table()
     columns = sorted(got.column_names)
