@@ -14,6 +14,7 @@ from blocklog.llm import (
     line_dedup,
     ngram_join,
     packing,
+    prefix_trie,
     quality_classifier,
     quality_rules,
     url_filter,
@@ -88,6 +89,10 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_in_middle.fill_in_middle(_table(spark, sf_dir, "documents"), keep_output=False).drop("output")
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_line_dedup": op2_line_dedup,
@@ -100,6 +105,7 @@ QUERIES = {
     "op9_language_model": op9_language_model,
     "op10_html_text": op10_html_text,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -163,4 +169,35 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN low END AS prefix_chars,
     ELSE '<S>' || substring(text, high + 1, n - high) || '<P>' || substring(text, 1, low) || '<M>' || substring(text, low + 1, high - low) END) AS output_sha256,
   sha256(text) AS restored_sha256
 FROM f""",
+    "op13_prefix_trie": """
+WITH crc AS (
+  SELECT list(v ORDER BY k) AS t FROM (
+    SELECT k, list_reduce([k, 0, 0, 0, 0, 0, 0, 0, 0], (v, z) -> CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END) AS v
+    FROM (SELECT CAST(range AS BIGINT) AS k FROM range(256)))),
+t AS (
+  SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(strlen(role) || ':' || role || text)) AS i
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)),
+own AS (
+  SELECT conv_id, list({'role': role, 'text': text} ORDER BY i) AS turns, CAST(conv_id AS VARCHAR) AS name FROM t GROUP BY conv_id),
+h AS (
+  SELECT conv_id, turns, xor(list_reduce(
+    list_concat([4294967295], list_transform(range(1, length(name) + 1), p -> CAST(ascii(name[p]) AS BIGINT))),
+    (c, x) -> xor(c >> 8, t[CAST(xor(c, x) & 255 AS INTEGER) + 1])), 4294967295) % 9 AS h
+  FROM own, crc),
+built AS MATERIALIZED (
+  SELECT h.conv_id, list_concat(coalesce(base.turns[1 : h.h], []), h.turns[h.h + 1 :]) AS turns
+  FROM h LEFT JOIN own base ON base.conv_id = h.conv_id - h.conv_id % 5),
+members AS (SELECT conv_id, d, turns[1 : d] AS pre, d = len(turns) AS ends FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM built)),
+nodes AS MATERIALIZED (
+  SELECT pre, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256,
+    (count(*) - 1) * coalesce(strlen(pre[d].text), 0) AS saved
+  FROM members GROUP BY pre, d),
+kids AS MATERIALIZED (SELECT pre[1 : d - 1] AS pre, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1),
+sums AS (
+  SELECT pre[1 : e] AS pre, sum(CASE WHEN n_children IS NULL THEN 1 ELSE 0 END) AS n_leaves, sum(saved) AS saved_tokens
+  FROM (SELECT nodes.pre, saved, n_children, unnest(range(0, d + 1)) AS e FROM nodes LEFT JOIN kids ON kids.pre = nodes.pre) GROUP BY 1)
+SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs, CAST(coalesce(n_children, 0) AS BIGINT) AS n_children,
+  CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN sums ON sums.pre = n.pre LEFT JOIN kids ON kids.pre = n.pre LEFT JOIN nodes p ON n.d > 0 AND p.pre = n.pre[1 : n.d - 1]""",
 }
