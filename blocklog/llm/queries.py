@@ -172,7 +172,7 @@ FROM f""",
     "op13_prefix_trie": """
 WITH crc AS (
   SELECT list(v ORDER BY k) AS t FROM (
-    SELECT k, list_reduce([k, 0, 0, 0, 0, 0, 0, 0, 0], (v, z) -> CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END) AS v
+    SELECT k, list_reduce([k, 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END) AS v
     FROM (SELECT CAST(range AS BIGINT) AS k FROM range(256)))),
 t AS (
   SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(strlen(role) || ':' || role || text)) AS i
@@ -181,8 +181,8 @@ own AS (
   SELECT conv_id, list({'role': role, 'text': text} ORDER BY i) AS turns, CAST(conv_id AS VARCHAR) AS name FROM t GROUP BY conv_id),
 h AS (
   SELECT conv_id, turns, xor(list_reduce(
-    list_concat([4294967295], list_transform(range(1, length(name) + 1), p -> CAST(ascii(name[p]) AS BIGINT))),
-    (c, x) -> xor(c >> 8, t[CAST(xor(c, x) & 255 AS INTEGER) + 1])), 4294967295) % 9 AS h
+    list_concat([4294967295], list_transform(range(1, length(name) + 1), lambda p: CAST(ascii(name[p]) AS BIGINT))),
+    lambda c, x: xor(c >> 8, t[CAST(xor(c, x) & 255 AS INTEGER) + 1])), 4294967295) % 9 AS h
   FROM own, crc),
 built AS MATERIALIZED (
   SELECT h.conv_id, list_concat(coalesce(base.turns[1 : h.h], []), h.turns[h.h + 1 :]) AS turns
