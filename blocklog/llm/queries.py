@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from blocklog.llm import (
     decontamination,
+    edit_fingerprints,
     fill_in_middle,
     html_text,
     language_id,
@@ -89,6 +90,10 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_in_middle.fill_in_middle(_table(spark, sf_dir, "documents"), keep_output=False).drop("output")
 
 
+def op12_edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_fingerprints.fingerprint_documents(_table(spark, sf_dir, "documents"))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
 
@@ -105,6 +110,7 @@ QUERIES = {
     "op9_language_model": op9_language_model,
     "op10_html_text": op10_html_text,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_edit_fingerprints": op12_edit_fingerprints,
     "op13_prefix_trie": op13_prefix_trie,
 }
 
