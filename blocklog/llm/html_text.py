@@ -5,7 +5,9 @@ all pages of a host, tokens with one occurrence vector form a class; the vector
 (page, count), so hosts of any size are aggregated, never gathered. Classes of two tokens or more that most pages
 have are valid. They nest by their paths into the host's template: a container of a valid class that comes once in
 a page is a slot, and the deepest slot that holds most of the pages' text (an article or main element before
-others) is the main one. Text runs of valid classes outside an article are template text.
+others, which is all that these elements decide where the template fits) is the main one. Text runs of valid classes are
+template text wherever they stand. Pages with the same text outside marked-up parts count once, so an article that
+is copied over a host is not taken for its template.
 
 A page's main text is what its main slot holds, without template text and without parts that are marked up as
 something else. A page that the template does not fit is read by its own markup.
@@ -184,9 +186,19 @@ def _token_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays(columns, ["host", "token", "pages", "vector", "most", "kind", "chars"])
 
 
+def _print_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds a hash of the text that is not in a part marked up as something else."""
+    for batch in batches:
+        prints = []
+        for html in batch.column(2):
+            blocks, _ = read_page(html.as_py() or "")
+            prints.append(xxh3_64_intdigest("\n".join(text for elements, text in blocks if not any(e.other for e in elements))))
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.array(prints, np.uint64).view(np.int64))], ["host", "key", "html", "print"])
+
+
 def _distinct_pages(pages: DataFrame, stage: Staging) -> DataFrame:
-    """One of the rows (host, key, html) of each page of a host; only pages that may have copies are shuffled."""
-    printed = pages.select("host", "key", "html", F.xxhash64("html").alias("print"))
+    """One of the rows (host, key, html) of each text of a host; only pages that may have copies are shuffled."""
+    printed = pages.select("host", "key", "html").mapInArrow(_print_batches, "host string, key bigint, html string, print bigint")
     times = printed.groupBy("host", "print").agg(F.count("*").alias("times"))
     copied = stage.table(times.where("times > 1").select(F.xxhash64("host", "print").alias("key")), "copied")
     may_be = bitmap_test(copied)(F.xxhash64("host", "print"))
@@ -219,19 +231,16 @@ def main_text(html: str | None, main: int | None, texts: frozenset[int]) -> str:
     """The blocks of the main slot that are neither template text nor marked up as something else, joined by spaces."""
     blocks, opened = read_page(html or "")
     landmarks = {id(e) for e in opened if e.main and not e.other}
-    paths = {e.path for e in opened}
+    fits = main is not None and any(e.path == main for e in opened)
     inside = []
     for elements, text in blocks:
         if any(e.other for e in elements):
             continue
-        in_landmark = any(id(e) in landmarks for e in elements)
-        if landmarks:
-            chosen = in_landmark
-        elif main is not None and main in paths:
+        if fits:
             chosen = any(e.path == main for e in elements)
         else:
-            chosen = True
-        if chosen and (in_landmark or _text_token(elements[-1].path, text) not in texts):
+            chosen = not landmarks or any(id(e) in landmarks for e in elements)
+        if chosen and _text_token(elements[-1].path, text) not in texts:
             inside.append(text)
     return " ".join(inside)
 
