@@ -517,6 +517,10 @@ def throughput(spark, sf_dir):
 # --- whole jobs ---------------------------------------------------------------------------------
 
 
+#: Moves the tenth block of a log to height 2^63.
+UNSIGNED_SHIFT = "9223372036854775798"
+
+
 def _folder(spark: SparkSession, name: str) -> str:
     return f"{Staging(spark).root}/{name}"
 
@@ -529,9 +533,14 @@ def _bridge_rules() -> CopyRules:
     return bridge_rules(mode="nested", tolerance=2, on_tolerance="stop")
 
 
+def _written(output: VerifiedOutput) -> DataFrame:
+    """Heights of these logs are small; jobs carry them as unsigned."""
+    return output.rows().select(STREAM, "out_seq", F.col(HEIGHT).cast("bigint").alias(HEIGHT), HASH)
+
+
 def _copied(output: VerifiedOutput) -> DataFrame:
     return output.rows().select(
-        STREAM, "out_seq", HEIGHT, HASH,
+        STREAM, "out_seq", F.col(HEIGHT).cast("bigint").alias(HEIGHT), HASH,
         D.first_header(F.col(HEADERS), MSG_ID_HEADER).alias("msg_id"),
     )
 
@@ -549,6 +558,25 @@ def bridge_batch(spark, sf_dir):
     return _copied(output)
 
 
+@query
+def bridge_unsigned(spark, sf_dir):
+    """A copy of logs whose heights cross 2^63, cut in the middle and started again."""
+    shifted = (F.col(HEIGHT).cast("decimal(20,0)") + F.lit(UNSIGNED_SHIFT).cast("decimal(20,0)")).cast("decimal(20,0)")
+    block = F.concat(
+        F.lit('{"block":{"header":{"hash":"'), HASH, F.lit('","prev_hash":"'), PREV_HASH, F.lit('","height":'),
+        shifted.cast("string"), F.lit("}}}"),
+    )
+    rows = fx.with_headers(fx.block_log(spark, sf_dir))
+    messages = rows.withColumn(PAYLOAD, F.when(F.col("fault") == "corrupt", F.lit("{")).otherwise(block))
+    messages = Staging(spark).table(messages.select(STREAM, SEQ, HEADERS, PAYLOAD), "messages")
+    output = _output(spark, messages)
+    rules = bridge_rules(mode="nested", tolerance=10**9)
+    middle = messages.agg(F.expr(f"(min({SEQ}) + max({SEQ})) div 2")).first()[0]
+    transfer.bridge(messages.where(F.col(SEQ) < middle), output, rules)
+    transfer.bridge(messages, output, rules)
+    return output.rows().select(STREAM, "out_seq", F.col(HEIGHT).cast("string").alias("height_text"), HASH)
+
+
 @query
 def bridge_restart(spark, sf_dir):
     """A copy that is cut in the middle of each log and started again must end like one in one go."""
@@ -558,7 +586,7 @@ def bridge_restart(spark, sf_dir):
     middle = messages.agg(F.expr(f"(min({SEQ}) + max({SEQ})) div 2")).first()[0]
     transfer.bridge(messages.where(F.col(SEQ) < middle), output, rules)
     transfer.bridge(messages, output, rules)
-    return output.rows().select(STREAM, "out_seq", HEIGHT, HASH)
+    return _written(output)
 
 
 @query
@@ -615,7 +643,7 @@ def restore_batch(spark, sf_dir):
         mode="nested", start=1, end=2**62, tolerance=1, on_tolerance="stop"
     )
     transfer.restore(valid, output, rules)
-    return output.rows().select(STREAM, "out_seq", HEIGHT, HASH)
+    return _written(output)
 
 
 @query
@@ -628,7 +656,7 @@ def restore_restart(spark, sf_dir):
     middle = valid.agg(F.expr(f"(min({SEQ}) + max({SEQ})) div 2")).first()[0]
     for end in (middle, 2**62):
         transfer.restore(stored, output, restore_rules(mode="nested", start=1, end=end, tolerance=10**9))
-    return output.rows().select(STREAM, "out_seq", HEIGHT, HASH)
+    return _written(output)
 
 
 @query
@@ -638,7 +666,7 @@ def restore_stream(spark, sf_dir):
     rules = restore_rules(mode="nested", tolerance=1, on_tolerance="stop")
     rows = _stream(spark, valid, "chunks")
     jobs.bridge_stream(rows, output, rules, _folder(spark, "offsets")).awaitTermination()
-    return output.rows().select(STREAM, "out_seq", HEIGHT, HASH)
+    return _written(output)
 
 
 @query
@@ -650,7 +678,8 @@ def compare_incremental(spark, sf_dir):
         spark, _folder(spark, "compare"), "nested", both.schema[STREAM].dataType
     )
     jobs.start(_stream(spark, both, "both"), job, _folder(spark, "offsets")).awaitTermination()
-    return job.findings().drop("batch_id")
+    found = job.findings().drop("batch_id")
+    return found.withColumns({c: F.col(c).cast("bigint") for c in ("prev_height", HEIGHT)})
 
 
 @query

@@ -14,6 +14,7 @@ from blocklog.model import (
     HASH,
     HEADERS,
     HEIGHT,
+    HEIGHT_TYPE,
     MSG_ID_HEADER,
     NESTED_PATHS,
     PAYLOAD,
@@ -243,6 +244,13 @@ def decode(df: DataFrame, mode: str | Decoder, **options) -> DataFrame:
     return decoder(df, **options) if options else decoder(df)
 
 
+def decode_unsigned(df: DataFrame, mode: str | Decoder) -> DataFrame:
+    """``decode`` with heights of the whole unsigned 64-bit range; a decoder of the user keeps its own errors."""
+    if isinstance(mode, str):
+        return decode(df, mode, height_type=HEIGHT_TYPE)
+    return decode(df, mode).withColumn(HEIGHT, F.col(HEIGHT).cast(HEIGHT_TYPE))
+
+
 def stage_decoded(
     messages: DataFrame,
     mode: str | Decoder,
@@ -250,13 +258,14 @@ def stage_decoded(
     *,
     with_key: bool = False,
     with_headers: bool = False,
+    unsigned: bool = False,
 ) -> DataFrame:
     """Decode once into a narrow table without the payload, for work that reads it several times.
 
-    ``with_key`` adds the payload key as ``key``.
+    ``with_key`` adds the payload key as ``key``; ``unsigned`` takes heights of the whole unsigned range.
     """
     known = [c for c in (STREAM, SEQ, HEADERS, PAYLOAD) if c in messages.columns]
-    decoded = decode(messages.select(*known), mode)
+    decoded = (decode_unsigned if unsigned else decode)(messages.select(*known), mode)
     extra = [HEADERS] if with_headers else []
     if with_key:
         extra.append(payload_key(F.col(PAYLOAD)).alias("key"))

@@ -36,6 +36,8 @@ EXPECTED_LAST_MSG_ID_HEADER = "Nats-Expected-Last-Msg-Id"
 EXPECTED_LAST_SEQ_HEADER = "Nats-Expected-Last-Sequence"
 EXPECTED_STREAM_HEADER = "Nats-Expected-Stream"
 UINT64_MAX = 18446744073709551615
+#: Heights are unsigned 64-bit values; jobs carry them in this type.
+HEIGHT_TYPE = "decimal(20,0)"
 ENVELOPE_VERSION = "01"
 NESTED_PATHS = {
     HASH: "block.header.hash",

@@ -94,7 +94,7 @@ flagged AS MATERIALIZED (
   SELECT b.stream_id, b.seq, b.height, b.hash, b.prev_hash, json_valid(b.payload) AS good,
          p.seq IS NOT NULL AS taken
   FROM block_log b LEFT JOIN path p ON p.stream_id = b.stream_id AND p.seq = b.seq),
-judged AS (
+judged AS MATERIALIZED (
   SELECT *, row_number() OVER (PARTITION BY stream_id ORDER BY seq) AS pos,
          last_value(CASE WHEN taken THEN height END IGNORE NULLS) OVER w AS tip_height,
          last_value(CASE WHEN taken THEN hash END IGNORE NULLS) OVER w AS tip_hash,
@@ -270,12 +270,12 @@ _BRIDGED = """cuts AS (SELECT stream_id, min(seq) AS cut FROM runs WHERE run >=
 bridged AS MATERIALIZED (
   SELECT r.* FROM runs r LEFT JOIN cuts c ON c.stream_id = r.stream_id WHERE c.cut IS NULL OR r.seq < c.cut)"""
 
-_RESTORED = """rwrong AS (SELECT *, label = 'HASH_MISMATCH' AS bad FROM gate),
-rruns AS (
+_RESTORED = """rwrong AS MATERIALIZED (SELECT *, label = 'HASH_MISMATCH' AS bad FROM gate),
+rruns AS MATERIALIZED (
   SELECT *, CASE WHEN bad THEN pos - coalesce(last_value(CASE WHEN NOT bad THEN pos END IGNORE NULLS)
       OVER (PARTITION BY stream_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0)
     ELSE 0 END AS run FROM rwrong),
-rcuts AS (SELECT stream_id, min(seq) AS cut FROM rruns WHERE run > 1 GROUP BY 1)"""
+rcuts AS MATERIALIZED (SELECT stream_id, min(seq) AS cut FROM rruns WHERE run > 1 GROUP BY 1)"""
 
 _STORED = "SELECT stream_id, seq, payload, epoch_us(ts) * 1000 AS unix_nano, msg_id FROM full_log"
 
@@ -465,6 +465,10 @@ path AS (
     ),
     "backup_batch": _on("full", _STORED),
     "backup_stream": _on("full", _STORED),
+    "bridge_unsigned": _gate(
+        """SELECT stream_id, out_seq, CAST(CAST(height AS HUGEINT) + 9223372036854775798 AS VARCHAR) AS height_text, hash
+           FROM gate WHERE label = 'ACCEPTED'"""
+    ),
     "bridge_restart": _gate("SELECT stream_id, out_seq, height, hash FROM gate WHERE label = 'ACCEPTED'"),
     "restore_restart": _on("valid", "SELECT stream_id, out_seq, height, hash FROM gate WHERE label = 'ACCEPTED'", _GATE),
     "restore_batch": _on(

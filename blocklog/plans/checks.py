@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blocklog.functions.decode import stage_decoded
-from blocklog.model import HEIGHT, SEQ, STREAM
+from blocklog.model import HEIGHT, HEIGHT_TYPE, SEQ, STREAM
 from blocklog.operators import audit, compare, stats
-from blocklog.session import Staging, child_names
+from blocklog.session import Staging
+from blocklog.sources.commits import CommitLog
 from blocklog.sources.log import seq_range
 
 
@@ -25,7 +26,7 @@ def validate_backup(
     """The report by kind and the first failure of each log; both empty for a sound backup."""
     staging = staging or Staging(backup.sparkSession)
     findings = audit.validation_findings(
-        stage_decoded(backup.where(F.col(SEQ) >= start), mode, staging, with_headers=True),
+        stage_decoded(backup.where(F.col(SEQ) >= start), mode, staging, with_headers=True, unsigned=True),
         end=end,
         ignore_seq_gaps=ignore_seq_gaps,
         ignore_msg_id=ignore_msg_id,
@@ -52,15 +53,15 @@ def compare_logs(
             F.lit(compare.BOTH).alias("side"),
             F.lit(audit.DISCREPANCY).alias("kind"),
             F.col("seq_a").alias("prev_seq"),
-            F.lit(None).cast("bigint").alias("prev_height"),
+            F.lit(None).cast(HEIGHT_TYPE).alias("prev_height"),
             F.col("seq_b").alias(SEQ),
-            F.lit(None).cast("bigint").alias(HEIGHT),
+            F.lit(None).cast(HEIGHT_TYPE).alias(HEIGHT),
             F.col("relative_seq").alias("step"),
             F.lit(2).alias("phase"),
         )
         return compare.until_first_fatal(audit.mark_fatal(found, **skip_flags))
     staging = Staging(a.sparkSession)
-    sides = [stage_decoded(side, mode, staging, with_key=True) for side in (a, b)]
+    sides = [stage_decoded(side, mode, staging, with_key=True, unsigned=True) for side in (a, b)]
     return compare.until_first_fatal(
         compare.compare_findings(*sides, mode, key=F.col("key"), staging=staging, **skip_flags)
     )
@@ -75,10 +76,10 @@ class SizeState:
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
+        self.commits = CommitLog(spark, path)
 
     def version(self) -> int:
-        names = child_names(self.spark, self.path)
-        return max((int(n.split("=")[1]) for n in names if n.startswith("version=")), default=-1)
+        return max(self.commits.batches(), default=-1)
 
     def distribution(self) -> DataFrame:
         return self._read("distribution", "measure string, bucket bigint, n bigint")
@@ -90,7 +91,7 @@ class SizeState:
         version = self.version()
         if version < 0:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.path}/version={version}/{part}")
+        return self.commits.table(part, version, schema)
 
     def update(
         self,
@@ -107,6 +108,7 @@ class SizeState:
 
         Fails, with nothing counted, where a sequence is left out or repeated, unless ``ignore_gaps``.
         """
+        attempt = self.commits.attempt(self.version() + 1)  # of two runs at a time one fails
         kind = log.schema[STREAM].dataType.simpleString()
         mark = self.progress(kind)
         fresh = (
@@ -129,17 +131,7 @@ class SizeState:
             F.max("last_processed_seq").alias("last_processed_seq")
         )
         merged = stats.merge_distribution(self.distribution(), new)
-        version = self.version() + 1
-        pending = f"{self.path}/_pending-{version}"
-        merged.write.mode("overwrite").parquet(f"{pending}/distribution")
-        progress.write.mode("overwrite").parquet(f"{pending}/progress")
-        _rename(self.spark, pending, f"{self.path}/version={version}")
+        attempt.write("distribution", merged)
+        attempt.write("progress", progress)
+        attempt.commit()
         return self.distribution()
-
-
-def _rename(spark: SparkSession, source: str, target: str) -> None:
-    """Publish a finished version in one step."""
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = path(source).getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.rename(path(source), path(target)):
-        raise RuntimeError(f"cannot publish {target}")

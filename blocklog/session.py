@@ -63,13 +63,20 @@ class Staging:
         self.spark = spark
         self.root = f"{shared_root(spark)}/stage-{uuid.uuid4().hex}"
         self._count = 0
+        self._paths: dict[str, list[str]] = {}
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{self._count:03d}-{name}"
         self._count += 1
+        self._paths.setdefault(name, []).append(path)
         df.write.mode("errorifexists").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def drop_table(self, name: str) -> None:
+        """Delete the tables written under a name; what still reads them must be written first."""
+        for path in self._paths.pop(name, []):
+            delete_path(self.spark, path)
+
     def drop(self) -> None:
         """Delete the tables of this stage; results that still read them must be written first."""
         delete_path(self.spark, self.root)

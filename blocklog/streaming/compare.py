@@ -13,12 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from blocklog.functions.decode import decode, payload_key
-from blocklog.model import ERROR, HASH, HEIGHT, PAYLOAD, PREV_HASH, SEQ, STREAM
+from blocklog.functions.decode import decode_unsigned, payload_key
+from blocklog.model import ERROR, HASH, HEIGHT, HEIGHT_TYPE, PAYLOAD, PREV_HASH, SEQ, STREAM
 from blocklog.operators import audit, compare
 from blocklog.operators.prefix import DEFAULT_WIDTH
 from blocklog.plans.verified import OutOfOrder
-from blocklog.session import Staging, child_names
+from blocklog.session import Staging
+from blocklog.sources.commits import AlreadyCommitted, CommitLog, signature
 
 SIDE = "side"
 
@@ -37,28 +38,24 @@ class IncrementalCompare:
     def __post_init__(self):
         if self.on_disorder not in ("fail", "skip"):
             raise ValueError("on_disorder should be fail or skip")
+        self.commits = CommitLog(self.spark, self.path)
 
     def _schema(self, part: str) -> T.StructType:
         names = {
-            "marks": f"{SIDE} string, {SEQ} bigint, {HEIGHT} bigint, {HASH} string, key string, top bigint",
-            "open": f"{SIDE} string, {SEQ} bigint, {HEIGHT} bigint, key string",
+            "marks": f"{SIDE} string, {SEQ} bigint, {HEIGHT} {HEIGHT_TYPE}, {HASH} string, key string, top {HEIGHT_TYPE}",
+            "open": f"{SIDE} string, {SEQ} bigint, {HEIGHT} {HEIGHT_TYPE}, key string",
         }
         rest = T.StructType.fromDDL(names[part])
         return T.StructType([T.StructField(STREAM, self.stream_type), *rest.fields])
 
     def _read(self, part: str, before: int) -> DataFrame:
-        known = [
-            int(n.split("=")[1]) for n in child_names(self.spark, f"{self.path}/{part}")
-            if n.startswith("batch_id=")
-        ]
-        known = [b for b in known if b < before]
         schema = self._schema(part)
-        if not known:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.path}/{part}/batch_id={max(known)}")
+        newest = self.commits.newest(before)
+        return self.spark.createDataFrame([], schema) if newest is None else self.commits.table(part, newest, schema)
 
     def findings(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/findings")
+        """Findings of the committed batches."""
+        return self.commits.tables("findings")
 
     def __call__(self, rows: DataFrame, batch: int) -> None:
         """Process a batch of messages of both sides (column ``side``: A or B).
@@ -66,11 +63,16 @@ class IncrementalCompare:
         A batch that goes back behind the last decoded row of a side fails, or with ``on_disorder`` of
         ``skip`` goes on without the rows before it.
         """
+        read = signature(rows, STREAM, SIDE, SEQ)
+        if batch in self.commits.batches():
+            if self.commits.note(batch) != {"read": read}:
+                raise AlreadyCommitted(f"batch {batch} is one of other messages")
+            return  # repeated by the stream
         staging = Staging(self.spark)
         marks = staging.table(self._read("marks", batch), "marks")
         open_rows = staging.table(self._read("open", batch), "open")
         rows = self._in_order(rows, marks)
-        decoded = decode(rows, self.mode).withColumn("key", payload_key(F.col(PAYLOAD)))
+        decoded = decode_unsigned(rows, self.mode).withColumn("key", payload_key(F.col(PAYLOAD)))
         sides = {
             name: staging.table(self._side(decoded, marks, name), f"side-{name}")
             for name in (compare.A, compare.B)
@@ -123,8 +125,10 @@ class IncrementalCompare:
             )
             still = part if still is None else still.unionByName(part)
 
+        attempt = self.commits.attempt(batch)
         for part, table in (("findings", found), ("open", still), ("marks", new_marks)):
-            table.write.mode("overwrite").parquet(f"{self.path}/{part}/batch_id={batch}")
+            attempt.write(part, table)
+        attempt.commit({"read": read})
         staging.drop()
 
     def _in_order(self, rows: DataFrame, marks: DataFrame) -> DataFrame:

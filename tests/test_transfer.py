@@ -182,8 +182,7 @@ def test_a_batch_that_was_cut_off_does_not_count(spark, tmp_path):
     output = VerifiedOutput(spark, str(tmp_path / "out"))
     rules = bridge_rules(tolerance=3)
     transfer.bridge(messages(spark, CHAIN[:3]), output, rules)
-    (tmp_path / "out/state/batch_id=1/_temporary").mkdir(parents=True)
-    output.write("rows", 1, output.rows().drop("batch_id"))
+    output.commits.attempt(1).write("rows", output.rows().drop("batch_id"))
     assert output.batches() == [0] and written(output) == [(1, 1), (2, 2), (3, 3)]
     transfer.bridge(messages(spark, CHAIN), output, rules)
     assert written(output) == [(i, i) for i in range(1, 9)]
