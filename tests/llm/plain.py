@@ -114,3 +114,67 @@ def base_statistics(text: str | None) -> tuple:
     symbols = sum(c in "#*$%&|<>" for c in text or "")
     dup = sum(line in lines[:k] for k, line in enumerate(lines))
     return len(w), sum(map(len, w)), symbols, dup, repeat_words(w)
+
+
+def url_templates(leaves: dict, fan_out: int, share: float, unlike: float, prior: float, usual: float) -> dict:
+    """(host, shape) to (template, purity) for leaves of (n, block, allow), one host and one node after the other."""
+    import xxhash
+
+    def differ(a, b):
+        a, b = zip(*[(x, y) for x, y in zip(a, b) if x + y > 0]) if any(a) and any(b) else ((), ())
+        if len(a) < 2:
+            return 0.0
+        a, b = [x + 0.5 for x in a], [y + 0.5 for y in b]
+        total, chi = sum(a) + sum(b), 0.0
+        for row in (a, b):
+            for k, x in enumerate(row):
+                expected = sum(row) * (a[k] + b[k]) / total
+                chi += (x - expected) ** 2 / expected
+        return (chi - (len(a) - 1)) / (2 * (len(a) - 1)) ** 0.5
+
+    out, purity = {}, {}
+
+    def node(host, rows, level, template, above):
+        block, known = sum(r[2] for r in rows), sum(r[2] + r[3] for r in rows)
+        here = (block + prior * above) / (known + prior)
+        if len(rows) == 1 and level < len(rows[0][0]):
+            parts, _, b, a, shape = rows[0]
+            for seg in parts[level:]:
+                template, here = (*template, seg), (b + prior * here) / (a + b + prior)
+            out[host, shape] = template, here
+            return
+        for r in rows:
+            if len(r[0]) <= level:
+                out[host, r[4]] = template, here
+        rows = [r for r in rows if len(r[0]) > level]
+        counts = Counter()
+        for r in rows:
+            counts[r[0][level]] += r[1]
+        total = sum(counts.values())
+        named = {s: "*" if len(counts) > fan_out and n < share * total else s for s, n in counts.items()}
+        branches = defaultdict(lambda: [0, [0, 0], [0] * 32])
+        for parts, n, b, a, _ in rows:
+            branch = branches[named[parts[level]]]
+            following = parts[level + 1] if len(parts) > level + 1 else "/"
+            branch[0] += n
+            branch[1][0] += b
+            branch[1][1] += a
+            branch[2][xxhash.xxh64_intdigest(following.encode(), seed=42) % 32] += n  # 2**64 is a multiple of 32
+        groups = []
+        for seg in sorted(branches, key=lambda s: (-branches[s][0], s)):
+            _, labels, follows = branches[seg]
+            for names, ls, fs in groups:
+                if seg != "*" and names != ["*"] and differ(labels, ls) <= unlike and differ(follows, fs) <= unlike:
+                    names.append(seg)
+                    ls[:], fs[:] = [x + y for x, y in zip(ls, labels)], [x + y for x, y in zip(fs, follows)]
+                    break
+            else:
+                groups.append(([seg], list(labels), list(follows)))
+        for names, *_ in groups:
+            below = [r for r in rows if named[r[0][level]] in names]
+            node(host, below, level + 1, (*template, "|".join(sorted(names))), here)
+
+    for host in {h for h, _ in leaves}:
+        rows = [(shape.removeprefix("/").split("/"), *counts, shape) for (h, shape), counts in leaves.items() if h == host]
+        node(host, rows, 0, (), usual)
+    return out

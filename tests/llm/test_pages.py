@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from blocklog.llm import html_text, url_filter
 from blocklog.llm.queries import URL_RULES
+from tests.llm import plain
 
 RULES = [url_filter.parse_rule(*r) for r in URL_RULES]
 
@@ -49,7 +53,37 @@ def test_method_rejects_a_blocked_template_and_merges_like_branches(spark):
     assert by[100].verdict == "allow" and by[130].template == by[180].template == "/de|en/#.html" and by[130].verdict == "allow"
     assert by[300].template == by[230].template == "/u/*/p"
     spam = [r for r in got if r.path == "/spam/77/x"]
-    assert spam and all(r.rule is None for r in spam)
+    assert spam and all(r.rule is None and r.verdict == "block" and r.purity > 0.8 for r in spam)
+
+
+def _equals_plain_tree(spark, urls, rules):
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    got = url_filter.filter_urls(pages, rules).collect()
+    leaves: dict = {}
+    for r in got:
+        shape = re.sub("[0-9]+", "#", r.path)
+        n, block, allow = leaves.get((r.host, shape), (0, 0, 0))
+        leaves[r.host, shape] = n + 1, block + (r.rule is not None and r.verdict == "block"), allow + (r.rule is not None and r.verdict == "allow")
+    block, known = sum(x[1] for x in leaves.values()), sum(x[1] + x[2] for x in leaves.values())
+    want = plain.url_templates(leaves, url_filter.FAN_OUT, url_filter.SHARE, url_filter.UNLIKE, url_filter.PRIOR, (block + 1) / (known + 2))
+    for r in got:
+        template, purity = want[r.host, re.sub("[0-9]+", "#", r.path)]
+        assert r.template == ("/" + "/".join(template) if template else "") and abs(r.purity - purity) < 1e-9, r
+        if r.rule is None:
+            assert r.verdict == ("block" if r.purity >= url_filter.REJECT else "allow")
+    return got
+
+
+def test_tree_equals_plain(spark, sf_dir):
+    r = random.Random(2)
+    segs = ["a", "b", "c1", "c22", "", "news", "spam", "é", "x|y", "*", "long-" + "z" * 300] + [f"u{chr(97 + k)}" for k in range(26)]
+    urls = ["http://h%d.org/%s" % (r.randint(0, 2), "/".join(r.choice(segs) for _ in range(r.randint(0, 5)))) for _ in range(900)]
+    urls += ["http://deep.org/" + "/".join("d" * 40) + end for end in ("/x", "/y", "")] + ["http://h0.org/spam/" + "z" * 200_000, "no url", None]
+    rules = [url_filter.Rule("block", "org", "/spam"), url_filter.Rule("allow", "h1.org", "/news/"), url_filter.Rule("block", "h0.org", "/b/")]
+    got = _equals_plain_tree(spark, urls, rules)
+    assert any(x.rule is None and x.verdict == "block" for x in got) and any(x.rule is None and x.verdict == "allow" for x in got)
+    given = [x.url for x in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()]
+    _equals_plain_tree(spark, given, RULES)
 
 
 MAIN = "<h1>A &amp; B</h1><p>One <b>two</b>three\n four<p>five<br>six</p>"
@@ -96,3 +130,25 @@ def test_copies_of_an_article_are_not_template_text(spark, copies):
     rows = [(k, f"http://c.org/{k}", "<body><p>Menu</p><article><p>same text</p></article></body>") for k in range(copies)]
     got = html_text.extract_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
     assert {r.text for r in got} == {"same text"}
+
+
+def _story(k: int) -> str:
+    return f"story {k} " + " ".join(f"w{k}x{j}" for j in range(30))
+
+
+def test_a_repeated_box_inside_the_article_goes(spark):
+    box = "<div class=blurb7><p>Get our letter every week</p><p>No spam</p></div>"
+    page = "<body><nav>n</nav><article><h1>Title {k}</h1><p>{story}</p>{box}<p>end {k}</p></article><footer>f</footer></body>"
+    rows = [(k, f"http://b.org/{k}", page.format(k=k, story=_story(k), box=box)) for k in range(40)]
+    rows += [(100 + k, f"http://few{k}.org/", page.format(k=k, story=_story(k), box=box)) for k in range(3)]  # no template from one page
+    got = {r.page_id: r.text for r in html_text.extract_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert all(got[k] == f"Title {k} {_story(k)} end {k}" for k in range(40))
+    assert all(got[100 + k] == f"Title {k} {_story(k)} Get our letter every week No spam end {k}" for k in range(3))
+
+
+def test_an_article_copied_over_a_host_keeps_its_text(spark):
+    page = "<body><nav>menu {k}</nav><article><p>copied story</p><p>copied end</p></article><footer>foot {k}</footer></body>"
+    rows = [(k, f"http://k.org/{k}", page.format(k=k)) for k in range(30)]
+    rows += [(k, f"http://k.org/{k}", page.format(k=k).replace("copied story", _story(k)).replace("copied end", f"end {k}")) for k in range(30, 40)]
+    got = {r.page_id: r.text for r in html_text.extract_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert {got[k] for k in range(30)} == {"copied story copied end"} and all(got[k] == f"{_story(k)} end {k}" for k in range(30, 40))
