@@ -19,7 +19,9 @@ from blocklog.operators import audit, compare, gate, resume, stats
 from blocklog.plans import checks, transfer
 from blocklog.plans.verified import CopyRules, VerifiedOutput, bridge_rules, restore_rules
 from blocklog.session import Staging
+from blocklog.functions.envelope import unwrapped
 from blocklog.sources import backup, log, sinks
+from blocklog.sources.chunk_index import ChunkIndex
 from blocklog.streaming import jobs
 from blocklog.streaming.compare import IncrementalCompare
 
@@ -659,6 +661,18 @@ def restore_restart(spark, sf_dir):
     return _written(output)
 
 
+@query
+def restore_indexed(spark, sf_dir):
+    """`restore_restart` by the index of the chunks, which is written in two runs with the backup."""
+    valid, path = _valid_backup(spark, sf_dir), _folder(spark, "backup")
+    middle = valid.agg(F.expr(f"(min({SEQ}) + max({SEQ})) div 2")).first()[0]
+    index, output = ChunkIndex(spark, path, valid.schema, "nested"), _output(spark, valid)
+    for part, end in ((F.col(SEQ) < middle, middle), (F.col(SEQ) >= middle, 2**62)):
+        backup.write_backup(valid.where(part), path, max_entries=200, split_at_holes=False)
+        transfer.restore(index, output, restore_rules(mode="nested", start=1, end=end, tolerance=10**9))
+    return _written(output)
+
+
 @query
 def restore_stream(spark, sf_dir):
     valid = _valid_backup(spark, sf_dir)
@@ -678,10 +692,30 @@ def compare_incremental(spark, sf_dir):
         spark, _folder(spark, "compare"), "nested", both.schema[STREAM].dataType
     )
     jobs.start(_stream(spark, both, "both"), job, _folder(spark, "offsets")).awaitTermination()
-    found = job.findings().drop("batch_id")
+    found = job.findings().drop("batch_id", "fatal")
     return found.withColumns({c: F.col(c).cast("bigint") for c in ("prev_height", HEIGHT)})
 
 
+def _wrapped(rows: DataFrame, type_: int) -> DataFrame:
+    """The payload behind an envelope of five items that says when and by whom it was sent."""
+    number = F.lpad(F.hex(F.col(SEQ)), 16, "0")
+    head = F.concat(F.lit("01851A"), F.lpad(F.hex(F.lit(type_)), 8, "0"), F.lit("1B"), number, F.lit("1A00000001"), F.lit("00"), F.lit("50"), F.md5(F.concat(F.col(SEQ), F.lit(f"-{type_}"))))
+    return rows.withColumn(PAYLOAD, F.unhex(F.concat(head, F.hex(F.col(PAYLOAD)))))
+
+
+@query
+def compare_enveloped(spark, sf_dir):
+    """Payloads that are equal behind different envelopes give no finding: `compare_by_height` over wrapped logs."""
+    a = _wrapped(_messages(spark, sf_dir), 7)
+    b = _wrapped(fx.compare_log(spark, sf_dir).withColumn(SEQ, F.col(SEQ)), 8)
+    staging = Staging(spark)
+    sides = []
+    for side in (a, b):
+        narrow = D.stage_decoded(unwrapped(side.select(STREAM, SEQ, PAYLOAD)), "nested", staging, with_key=True)
+        sides.append(compare.prepare_side(narrow, F.col("key")))
+    return compare.compare_by_height(*sides)
+
+
 @query
 def stats_stream(spark, sf_dir):
     documents = fx.raw(spark, sf_dir, "documents").withColumn(SEQ, F.col("doc_id") + 1)

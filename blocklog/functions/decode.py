@@ -25,6 +25,8 @@ from blocklog.model import (
 )
 from blocklog.session import Staging
 
+ENVELOPE_ERROR = "envelope_error"
+
 Decoder = Callable[[DataFrame], DataFrame]
 
 
@@ -251,6 +253,13 @@ def decode_unsigned(df: DataFrame, mode: str | Decoder) -> DataFrame:
     return decode(df, mode).withColumn(HEIGHT, F.col(HEIGHT).cast(HEIGHT_TYPE))
 
 
+def with_envelope_error(decoded: DataFrame) -> DataFrame:
+    """A message whose envelope does not decode is corrupt, whatever its payload."""
+    sound = F.col(ENVELOPE_ERROR).isNull()
+    fields = {c: F.when(sound, F.col(c)) for c in (HEIGHT, HASH, PREV_HASH)}
+    return decoded.withColumns({**fields, ERROR: F.coalesce(ENVELOPE_ERROR, ERROR)})
+
+
 def stage_decoded(
     messages: DataFrame,
     mode: str | Decoder,
@@ -264,8 +273,10 @@ def stage_decoded(
 
     ``with_key`` adds the payload key as ``key``; ``unsigned`` takes heights of the whole unsigned range.
     """
-    known = [c for c in (STREAM, SEQ, HEADERS, PAYLOAD) if c in messages.columns]
+    known = [c for c in (STREAM, SEQ, HEADERS, PAYLOAD, ENVELOPE_ERROR) if c in messages.columns]
     decoded = (decode_unsigned if unsigned else decode)(messages.select(*known), mode)
+    if ENVELOPE_ERROR in known:
+        decoded = with_envelope_error(decoded)
     extra = [HEADERS] if with_headers else []
     if with_key:
         extra.append(payload_key(F.col(PAYLOAD)).alias("key"))

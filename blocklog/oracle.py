@@ -511,6 +511,8 @@ path AS (
 
 # The streaming forms give what the batch forms give.
 ORACLES["bridge_stream"] = ORACLES["bridge_batch"]
+ORACLES["compare_enveloped"] = ORACLES["compare_by_height"]
+ORACLES["restore_indexed"] = ORACLES["restore_restart"]
 ORACLES["restore_stream"] = ORACLES["restore_batch"]
 ORACLES["stats_stream"] = ORACLES["size_distribution_1kb"]
 ORACLES["size_state"] = ORACLES["size_distribution_1kb"]

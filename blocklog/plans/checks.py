@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blocklog.functions.decode import stage_decoded
+from blocklog.functions.decode import CorruptRowsError, stage_decoded
+from blocklog.functions.envelope import unwrapped
 from blocklog.model import HEIGHT, HEIGHT_TYPE, SEQ, STREAM
 from blocklog.operators import audit, compare, stats
 from blocklog.session import Staging
@@ -42,11 +43,19 @@ def compare_logs(
     *,
     start_a: int = 1,
     start_b: int = 1,
+    envelope: bool = False,
     **skip_flags: bool,
 ) -> DataFrame:
-    """The findings of a comparison up to the first that no flag excuses."""
+    """The findings of a comparison up to the first that no flag excuses.
+
+    With ``envelope`` the payloads have one, which is checked and then left out of the comparison.
+    """
+    if envelope:
+        a, b = unwrapped(a), unwrapped(b)
     a, b = a.where(F.col(SEQ) >= start_a), b.where(F.col(SEQ) >= start_b)
     if mode == "simple":
+        if envelope:
+            a, b = (side.withColumnRenamed("envelope_error", "error") for side in (a, b))
         pairs = compare.compare_by_relative_seq(a, b, start_a, start_b)
         found = pairs.select(
             STREAM,
@@ -87,6 +96,10 @@ class SizeState:
     def progress(self, stream_type: str = "bigint") -> DataFrame:
         return self._read("progress", f"{STREAM} {stream_type}, last_processed_seq bigint")
 
+    def dumps(self) -> DataFrame:
+        """The rows that were too large, of all runs: STREAM, seq, data."""
+        return self.commits.tables("dumps").drop("batch_id")
+
     def _read(self, part: str, schema: str) -> DataFrame:
         version = self.version()
         if version < 0:
@@ -103,10 +116,14 @@ class SizeState:
         end: int = 0,
         resolution_kb: int = 64,
         ignore_gaps: bool = False,
+        error: Column | None = None,
+        dump_above: int | None = None,
     ) -> DataFrame:
         """Add the rows after the last counted sequence of each log; returns the new distribution.
 
-        Fails, with nothing counted, where a sequence is left out or repeated, unless ``ignore_gaps``.
+        Fails, with nothing counted, where a sequence is left out or repeated, unless ``ignore_gaps``, and where ``error``,
+        which says why a row could not be unpacked, is not null. Unpacked rows of over ``dump_above`` bytes are kept in
+        :meth:`dumps`, in one table.
         """
         attempt = self.commits.attempt(self.version() + 1)  # of two runs at a time one fails
         kind = log.schema[STREAM].dataType.simpleString()
@@ -125,6 +142,10 @@ class SizeState:
             gap = ends.where(inside | (F.col("last").isNotNull() & (F.col("l") != F.col("last") + 1))).first()
             if gap is not None:
                 raise SequenceGap(f"log {gap[STREAM]}: {gap['n']} rows from {gap['l']} to {gap['r']} after {gap['last']}")
+        if error is not None:
+            bad = fresh.where(error.isNotNull()).select(STREAM, SEQ, error.alias("error")).orderBy(STREAM, SEQ).first()
+            if bad is not None:
+                raise CorruptRowsError(f"log {bad[STREAM]}, sequence {bad[SEQ]}: {bad['error']}")
         new = stats.size_distribution(fresh, packed, unpacked, resolution_kb)
         seen = fresh.groupBy(STREAM).agg(F.max(SEQ).alias("last_processed_seq"))
         progress = mark.unionByName(seen).groupBy(STREAM).agg(
@@ -133,5 +154,7 @@ class SizeState:
         merged = stats.merge_distribution(self.distribution(), new)
         attempt.write("distribution", merged)
         attempt.write("progress", progress)
+        if dump_above is not None:
+            attempt.write("dumps", fresh.where(F.octet_length(unpacked) > dump_above).select(STREAM, SEQ, unpacked.alias("data")))
         attempt.commit()
         return self.distribution()

@@ -7,13 +7,14 @@ A so far. Everything else has met its partner or can never meet one.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from blocklog.functions.decode import decode_unsigned, payload_key
+from blocklog.functions.decode import decode_unsigned, payload_key, with_envelope_error
+from blocklog.functions.envelope import unwrapped
 from blocklog.model import ERROR, HASH, HEIGHT, HEIGHT_TYPE, PAYLOAD, PREV_HASH, SEQ, STREAM
 from blocklog.operators import audit, compare
 from blocklog.operators.prefix import DEFAULT_WIDTH
@@ -34,6 +35,11 @@ class IncrementalCompare:
     stream_type: T.DataType
     width: int = DEFAULT_WIDTH
     on_disorder: str = "fail"
+    #: The payloads have an envelope, which is checked and then left out of the comparison.
+    envelope: bool = False
+    #: A log ends with the batch of its first finding that no flag excuses; its later messages are not read.
+    halt: bool = False
+    skip_flags: dict[str, bool] = field(default_factory=dict)
 
     def __post_init__(self):
         if self.on_disorder not in ("fail", "skip"):
@@ -54,9 +60,16 @@ class IncrementalCompare:
         return self.spark.createDataFrame([], schema) if newest is None else self.commits.table(part, newest, schema)
 
     def findings(self) -> DataFrame:
-        """Findings of the committed batches."""
+        """Findings of the committed batches; ``fatal`` where no flag excuses one."""
         return self.commits.tables("findings")
 
+    def halted(self, before: int | None = None) -> DataFrame:
+        """Logs that have ended and the batch in which they did: STREAM, ended."""
+        kind = self.stream_type.simpleString()
+        schema = f"{STREAM} {kind}, ended bigint"
+        newest = self.commits.newest(before)
+        return self.spark.createDataFrame([], schema) if newest is None else self.commits.table("halted", newest, schema)
+
     def __call__(self, rows: DataFrame, batch: int) -> None:
         """Process a batch of messages of both sides (column ``side``: A or B).
 
@@ -71,8 +84,15 @@ class IncrementalCompare:
         staging = Staging(self.spark)
         marks = staging.table(self._read("marks", batch), "marks")
         open_rows = staging.table(self._read("open", batch), "open")
+        halted = staging.table(self.halted(batch), "halted")
+        if self.halt:
+            rows = rows.join(halted, STREAM, "left_anti")
         rows = self._in_order(rows, marks)
+        if self.envelope:
+            rows = unwrapped(rows)
         decoded = decode_unsigned(rows, self.mode).withColumn("key", payload_key(F.col(PAYLOAD)))
+        if self.envelope:
+            decoded = with_envelope_error(decoded)
         sides = {
             name: staging.table(self._side(decoded, marks, name), f"side-{name}")
             for name in (compare.A, compare.B)
@@ -125,8 +145,12 @@ class IncrementalCompare:
             )
             still = part if still is None else still.unionByName(part)
 
+        found = staging.table(audit.mark_fatal(found, **self.skip_flags), "found")
+        ended = found.where("fatal").select(STREAM).distinct().withColumn("ended", F.lit(batch).cast("bigint"))
+        if not self.halt:
+            ended = ended.limit(0)
         attempt = self.commits.attempt(batch)
-        for part, table in (("findings", found), ("open", still), ("marks", new_marks)):
+        for part, table in (("findings", found), ("open", still), ("marks", new_marks), ("halted", halted.unionByName(ended))):
             attempt.write(part, table)
         attempt.commit({"read": read})
         staging.drop()
