@@ -26,13 +26,13 @@ from blocklog.session import Staging
 FAN_OUT = 16
 #: A segment with this share of a node's urls stays as it is.
 SHARE = 0.05
-#: Two branches whose counts differ with a larger statistic (chi-squared a degree of freedom) are not merged.
-UNLIKE = 4.0
+#: Two branches whose counts differ by more than so many standard deviations of chi-squared above its mean are not merged.
+UNLIKE = 3.0
 #: Labels that a parent's purity counts for in each node.
 PRIOR = 4.0
 REJECT = 0.8
 #: Bins of what follows a branch.
-_BINS = 8
+_BINS = 32
 
 
 @dataclass(frozen=True)
@@ -80,7 +80,7 @@ def _merge(nodes: pd.DataFrame) -> pd.DataFrame:
 
 
 def _unlike(a: np.ndarray, b: np.ndarray) -> float:
-    """Chi-squared a degree of freedom of two rows of counts, with half a count added to each cell that is used.
+    """Standard deviations by which chi-squared of two rows of counts is above its mean; half a count is added to each used cell.
 
     Rows of which one is empty do not differ.
     """
@@ -89,7 +89,8 @@ def _unlike(a: np.ndarray, b: np.ndarray) -> float:
         return 0.0
     table = np.stack([a[used], b[used]]) + 0.5
     expected = table.sum(1, keepdims=True) * table.sum(0) / table.sum()
-    return float(((table - expected) ** 2 / expected).sum() / (used.sum() - 1))
+    freedom = used.sum() - 1
+    return float((((table - expected) ** 2 / expected).sum() - freedom) / np.sqrt(2 * freedom))
 
 
 def path_templates(leaves: DataFrame, stage: Staging) -> DataFrame:
