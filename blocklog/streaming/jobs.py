@@ -19,6 +19,7 @@ from blocklog.plans.transfer import backup
 from blocklog.plans.verified import CopyRules, VerifiedOutput, copy_batch
 from blocklog.session import child_names, make_folder
 from blocklog.sources.sinks import Sink
+from blocklog.sources.stored_ranges import StoredRanges
 
 
 def start(
@@ -76,10 +77,14 @@ def backup_stream(
     records: DataFrame, path: str, start_seq: int, end_seq: int, checkpoint: str,
     *, mode: str = "simple", limits: dict | None = None, **run,
 ) -> StreamingQuery:
-    """Continuous backup. A repeated batch finds its rows stored and adds nothing."""
+    """Continuous backup. A repeated batch finds its rows stored and adds nothing.
+
+    The intervals of what is stored are kept from batch to batch, so a batch costs what its own rows cost.
+    """
+    stored = StoredRanges(records.sparkSession, path, records.schema, mode)
 
     def step(rows: DataFrame, batch: int) -> None:
-        backup(rows, path, start_seq, end_seq, mode=mode, **(limits or {}))
+        backup(rows, path, start_seq, end_seq, mode=mode, stored=stored, **(limits or {}))
 
     return start(records, step, checkpoint, **run)
 
