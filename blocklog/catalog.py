@@ -600,6 +600,18 @@ def bridge_stream(spark, sf_dir):
     return _copied(output)
 
 
+@query
+def sync_metrics_stream(spark, sf_dir):
+    """Totals of the live counters of a copy in several batches."""
+    messages = _messages(spark, sf_dir)
+    metrics, rules = jobs.SyncMetrics(), bridge_rules(mode="nested", tolerance=10**9)
+    jobs.bridge_stream(
+        _stream(spark, messages, "messages"), _output(spark, messages), rules, _folder(spark, "offsets"), metrics=metrics
+    ).awaitTermination()
+    names = jobs.SyncMetrics.COUNTERS
+    return spark.createDataFrame([tuple(metrics.totals[n] for n in names)], ", ".join(f"{n} bigint" for n in names))
+
+
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fx.with_headers(fx.full_log(spark, sf_dir))
     return backup.to_backup_records(rows)

@@ -99,6 +99,16 @@ def counter_columns() -> list[Column]:
     ]
 
 
+def position_columns() -> list[Column]:
+    """How far reader and writer are over all logs."""
+    at_accepted = F.col("label") == ACCEPTED
+    return [
+        F.max(SEQ).alias("reader_seq"),
+        F.max(F.when(at_accepted, F.col(SEQ))).alias("last_written_input_seq"),
+        F.max(F.when(at_accepted, F.col(HEIGHT))).alias("last_written_height"),
+    ]
+
+
 def sync_counters(labelled: DataFrame) -> DataFrame:
     """Reads, writes and skips by reason, per log."""
     return labelled.groupBy(STREAM).agg(*counter_columns())

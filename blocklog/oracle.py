@@ -484,6 +484,11 @@ path AS (
            count(*) FILTER (WHERE label = 'CORRUPT') AS corrupted_skips, count(*) FILTER (WHERE label = 'LOW_HEIGHT') AS low_height_skips,
            count(*) FILTER (WHERE label = 'HASH_MISMATCH') AS hash_mismatch_skips FROM gate GROUP BY 1"""
     ),
+    "sync_metrics_stream": _gate(
+        """SELECT count(*) AS reads, count(*) FILTER (WHERE label = 'ACCEPTED') AS writes, CAST(0 AS BIGINT) AS low_seq_skips,
+           count(*) FILTER (WHERE label = 'CORRUPT') AS corrupted_skips, count(*) FILTER (WHERE label = 'LOW_HEIGHT') AS low_height_skips,
+           count(*) FILTER (WHERE label = 'HASH_MISMATCH') AS hash_mismatch_skips FROM gate"""
+    ),
     "sync_gauges": _gate("SELECT * FROM gauges", _RUNS, _GAUGES),
     "sync_status": _gate(
         """SELECT stream_id, 'LAST' AS line, input_last_seq AS input_seq, coalesce(output_last_seq, 0) AS output_seq,

@@ -7,6 +7,7 @@ the checkpoint of the query only keeps the source offsets.
 from __future__ import annotations
 
 import hashlib
+from collections import deque
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,10 @@ from blocklog.sources.sinks import Sink
 from blocklog.sources.stored_ranges import StoredRanges
 
 
+#: Batches whose counters are held.
+KEPT = 1000
+
+
 def start(
     rows: DataFrame,
     sink: Sink,
@@ -62,13 +67,17 @@ def bridge_stream(
     checkpoint: str,
     *,
     sink: Sink | None = None,
+    metrics: SyncMetrics | None = None,
     **run,
 ) -> StreamingQuery:
-    """Continuous verified copy. With :func:`restore_rules` it restores from a stream of backup files."""
+    """Continuous verified copy. With :func:`restore_rules` it restores from a stream of backup files.
+
+    ``metrics`` is kept current by each batch of this run.
+    """
     first = _first_batch(output, checkpoint)
 
     def step(rows: DataFrame, batch: int) -> None:
-        copy_batch(rows, output, first + batch, rules, sink=sink)
+        copy_batch(rows, output, first + batch, rules, sink=sink, metrics=metrics)
 
     return start(messages, step, checkpoint, **run)
 
@@ -126,11 +135,37 @@ def observed(messages: DataFrame, name: str = "reader") -> DataFrame:
     )
 
 
+class SyncMetrics:
+    """Counters and positions of a running copy: totals since it began, and the latest batches.
+
+    Counters add up over the batches (reads, writes and skips by reason), positions keep their greatest value. A batch that is
+    run again counts once. Only `kept` batches are held, so memory does not grow with the life of the copy.
+    """
+
+    COUNTERS = ("reads", "writes", "low_seq_skips", "corrupted_skips", "low_height_skips", "hash_mismatch_skips")
+    POSITIONS = ("reader_seq", "last_written_input_seq", "last_written_height")
+
+    def __init__(self, kept: int = KEPT):
+        self.totals = dict.fromkeys(self.COUNTERS, 0)
+        self.positions: dict = dict.fromkeys(self.POSITIONS)
+        self.batches: deque[dict] = deque(maxlen=kept)
+
+    def __call__(self, batch: int, seen: dict) -> None:
+        if self.batches and batch <= self.batches[-1]["batch"]:
+            return
+        self.batches.append({"batch": batch, **seen})
+        for name in self.COUNTERS:
+            self.totals[name] += seen.get(name) or 0
+        for name in self.POSITIONS:
+            known = [v for v in (seen.get(name), self.positions[name]) if v is not None]
+            self.positions[name] = max(known, default=None)
+
+
 class SyncListener(StreamingQueryListener):
-    """Keeps the observed counters of each micro-batch, newest last."""
+    """Keeps the observed counters of the latest micro-batches, newest last."""
 
-    def __init__(self):
-        self.progress: list[dict] = []
+    def __init__(self, kept: int = KEPT):
+        self.progress: deque[dict] = deque(maxlen=kept)
 
     def onQueryStarted(self, event):  # noqa: N802
         pass

@@ -89,3 +89,14 @@ def test_compare_incremental_guards_the_order(spark, tmp_path):
     for n, seqs in enumerate([(3, 4), (1, 2, 5)]):
         job(batch(*seqs), n)
     assert job.findings().count() == 0
+
+
+def test_metrics_hold_the_latest_batches_and_count_a_repeated_one_once():
+    metrics = jobs.SyncMetrics(kept=2)
+    for batch in (0, 1, 1, 2):
+        seen = dict.fromkeys(jobs.SyncMetrics.COUNTERS, batch + 1) | {"reader_seq": 10 - batch, "last_written_input_seq": None, "last_written_height": batch or None}
+        metrics(batch, seen)
+    metrics(3, {})  # a batch without rows
+    assert metrics.totals == dict.fromkeys(jobs.SyncMetrics.COUNTERS, 6)
+    assert metrics.positions == {"reader_seq": 10, "last_written_input_seq": None, "last_written_height": 2}
+    assert [b["batch"] for b in metrics.batches] == [2, 3]
