@@ -11,6 +11,7 @@ from blocklog.plans.verified import (
 )
 from blocklog.sources import backup as B
 from blocklog.sources import sinks
+from blocklog.sources.chunk_index import ChunkIndex
 
 BAD = "{"
 
@@ -206,3 +207,25 @@ def test_a_restarted_copy_takes_no_row_from_before_its_tip(spark, tmp_path, base
     transfer.bridge(rows.where(F.col("seq") <= 4), output, rules)
     transfer.bridge(rows, output, rules)
     assert written(output) == [(1, base + 1), (2, base + 2)]
+
+
+def test_a_restarted_restore_takes_no_row_from_before_its_tip(spark, tmp_path):
+    rows = messages(spark, [block(h, f"h{h}", f"h{h - 1}") for h in [1, 3, 4, 2, 5, 6]])
+    B.write_backup(rows, path := str(tmp_path / "backup"), max_entries=6)
+    stored = B.read_backup(spark, path, schema=rows.schema)
+    for name, source in ("plain", stored), ("indexed", ChunkIndex(spark, path, rows.schema, "nested")):
+        output = VerifiedOutput(spark, str(tmp_path / name))
+        for end in (5, 99):
+            transfer.restore(source, output, restore_rules(start=1, end=end, tolerance=9))
+        assert written(output) == [(1, 1), (2, 2)]
+
+
+def test_a_chunk_is_one_file(spark, tmp_path):
+    rows = spark.range(1, 2001).select(
+        F.lit("a b+c/d").alias("stream_id"), F.col("id").alias("seq"), F.repeat(F.lit("x"), F.lit(9)).alias("payload"))
+    B.write_backup(rows, path := str(tmp_path / "backup"), max_entries=500, width=64)
+    files = spark.read.schema(rows.schema).parquet(path).select("stream_id", F.input_file_name().alias("file"))
+    assert files.distinct().count() == 4
+    index = ChunkIndex(spark, path, rows.schema)
+    assert sorted(map(tuple, index.missing().collect())) == [("a b+c/d", 1 + 500 * i) for i in range(4)]
+    assert index.refresh() == 4 and index.missing().count() == 0
