@@ -48,6 +48,8 @@ LIKENESS = 0.9
 RECALL = 0.95
 #: A list of more members meets its centre and is split by further bits.
 SHORT = 8
+#: Members of a block of a list whose members are in several groups.
+BLOCK = 1024
 
 
 def _walk_tables() -> list[np.ndarray]:
@@ -324,13 +326,29 @@ def _proposed(rows: DataFrame, key: str, stage: Staging, short: int) -> tuple[Da
     return pairs.unionByName(long.where("centre <> fingerprint").select(F.col("centre").alias("a"), F.col("fingerprint").alias("b"))), long.select(rows.columns)
 
 
+def _across(long: DataFrame, parts: DataFrame) -> DataFrame:
+    """Pairs (a, b) of one long list whose groups (of_a, of_b) differ; pairs within a group can add nothing to it.
+
+    The members outside the group with most members meet all others. A list goes in blocks, so no task holds all of it.
+    """
+    known = parts.select(F.col("node").alias("fingerprint"), F.col("component").alias("of"))
+    member = long.join(known, "fingerprint", "left").select("key", "fingerprint", F.coalesce("of", "fingerprint").alias("of"))
+    counted = member.groupBy("key", "of").agg(F.count("*").alias("n")).groupBy("key")
+    mixed = counted.agg(F.max_by("of", "n").alias("most"), F.ceil(F.sum("n") / BLOCK).alias("blocks"), F.count("*").alias("groups")).where("groups > 1")
+    member = member.join(mixed.drop("groups"), "key")
+    some = member.where("of <> most").select("key", F.col("fingerprint").alias("a"), F.col("of").alias("of_a"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    all_ = member.select("key", F.col("fingerprint").alias("b"), F.col("of").alias("of_b"), "most", F.pmod(F.xxhash64("fingerprint"), F.col("blocks")).alias("block"))
+    return some.join(all_, ["key", "block"]).where("of_a <> of_b and (of_b = most or a < b)").select("a", "b", "of_a", "of_b")
+
+
 def near_groups(prints: DataFrame, *, wanted: float = LIKENESS, recall: float = RECALL, short: int = SHORT) -> DataFrame:
     """(fingerprint, group) of the fingerprints that are near others; `prints` has the columns doc_id and fingerprint.
 
     Documents with one fingerprint are one class from the start. Pairs come from bands, so a pair just at the wanted
     likeness is found with probability `recall`, closer ones with a higher one; nothing unlike is linked. A list of over
     `short` members is not paired out: its members meet a centre, and once more, with another centre, those that share
-    as many bits again. The group is the least document id of what is linked, transitively; null ids count as greatest.
+    as many bits again; then those of its members that are in different groups meet each other, so that the groups are
+    those of all its pairs. The group is the least document id of what is linked, transitively; null ids count as greatest.
     """
     stage = Staging(prints.sparkSession)
     classes = stage.table(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("doc_id")), "fingerprints")
@@ -342,7 +360,13 @@ def near_groups(prints: DataFrame, *, wanted: float = LIKENESS, recall: float =
     pairs, long = _proposed(stage.table(rows, "bands"), "key", stage, short)
     finer, _ = _proposed(long.select("finer", "fingerprint"), "finer", stage, short)
     links = pairs.unionByName(finer).distinct().mapInArrow(_verify(wanted), "a string, b string")
-    parts = connected_components(links, stage)
+    parts = stage.table(connected_components(links, stage), "parts")
+    across = _across(long.select("key", "fingerprint"), parts).mapInArrow(_verify(wanted), "a string, b string, of_a string, of_b string")
+    merged = connected_components(across.select(F.col("of_a").alias("a"), F.col("of_b").alias("b")), stage)
+    merged = merged.select(F.col("node").alias("component"), F.col("component").alias("into"))
+    # A member that was in no group is one of its own.
+    parts = parts.unionByName(merged.select(F.col("component").alias("node"), "component")).distinct()
+    parts = parts.join(merged, "component", "left").select("node", F.coalesce("into", "component").alias("component"))
     least = parts.join(classes, parts["node"] == classes["fingerprint"]).groupBy("component").agg(F.min("doc_id").alias("group_id"))
     return parts.join(least, "component").select(F.col("node").alias("fingerprint"), "group_id")
 

@@ -142,3 +142,17 @@ def test_query(spark, sf_dir):
     for i, (_, _, text, _) in want.items():
         assert by_text.setdefault(text, prints[i]) == prints[i]
     assert sum(r.near_edited > r.near_next for r in got) > 0.97 * len(got)
+
+
+def test_long_lists_lose_no_link_of_members_that_are_far_from_their_centre(spark):
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("abcdefgh ") for _ in range(240))]
+    while len(texts) < 150:  # each is some edits away from one before it
+        chars = list(rng.choice(texts))
+        for _ in range(3):
+            chars[rng.randrange(180, 240)] = rng.choice("xyz")
+        texts.append("".join(chars))
+    prints = ef.Walker().prints(texts)
+    rows = spark.createDataFrame(list(enumerate(prints)), "doc_id long, fingerprint string")
+    groups = [sorted(map(tuple, ef.near_groups(rows, short=n).collect())) for n in (1, 10**6)]
+    assert groups[0] == groups[1]
