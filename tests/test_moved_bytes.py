@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from blocklog import fixtures as fx
 from blocklog.functions import decode as D
 from blocklog.operators import compare, gate
+from blocklog.operators.prefix import RunSum, with_prefix_in_groups
 from blocklog.plans.verified import bridge_rules, label_messages, state_schema
 from blocklog.session import Staging
 
@@ -70,3 +71,39 @@ def test_runs_are_told_by_log(spark):
     assert labelled.agg(F.max("seq")).first()[0] == 9
     assert not staged(staging, "runs") and all("tip_hash" not in names for names, _ in staged(staging, "labelled"))
     assert labelled.where("label <> 'ACCEPTED' and hash is not null").isEmpty()
+
+
+def test_hashes_are_packed_without_a_loss(spark):
+    texts = ["", "00", "0aF", "0af1", "0AF1", "xyz", "é", "\x01", "abc", "61", "a", "d41d8cd98f00b204e9800998ecf8427e"]
+    packed = spark.createDataFrame([(t,) for t in texts], "t string").select("t", gate._packed(F.col("t")).alias("p"))
+    rows = packed.select("t", "p", gate._text(F.col("p")).alias("back")).collect()
+    assert [r.back for r in rows] == texts
+    assert len({bytes(r.p) for r in rows}) == len(texts)
+    assert len(rows[-1].p) == 17
+
+
+def test_links_are_told_apart_by_numbers_and_steps_are_written_once(spark):
+    staging = Staging(spark)
+    gate.write_gate(chain(spark), staging=staging).collect()
+    events = staged(staging, "events")
+    assert events and all("link" not in names for names, _ in events)
+    assert staged(staging, "reached")
+
+
+def test_runs_are_not_dealt_out_again(spark):
+    def shuffles(rows):
+        runs = gate.wrong_runs(rows, F.col("label") == "HASH_MISMATCH").select("stream_id", "seq", "run")
+        return runs, runs._jdf.queryExecution().executedPlan().toString().count("REPARTITION_BY")
+
+    (told, some), (dealt, none) = shuffles(gate.write_gate(chain(spark))), shuffles(gate.write_gate(chain(spark), dealt=True))
+    assert some > none and told.columns == dealt.columns
+    assert sorted(told.collect()) == sorted(dealt.collect())
+
+
+def test_keys_are_counted_by_shares(spark, tmp_path):
+    """A frequent key is still found where shares of keys are counted first."""
+    staging = Staging(spark)
+    rows = staging.table(spark.range(60).select(F.when(F.col("id") < 40, 0).otherwise(F.col("id")).alias("k"), (F.col("id") + 1).alias("p")), "rows")
+    got = with_prefix_in_groups(rows, [RunSum(F.lit(1).cast("bigint"), "n")], keys=["k"], order="p", staging=staging, width=8)
+    assert {(r.k, r.p): r.n for r in got.collect()} == {**{(0, p): p for p in range(1, 41)}, **{(p - 1, p): 1 for p in range(41, 61)}}
+    assert staged(staging, "hot")
