@@ -205,7 +205,7 @@ def _distinct_pages(pages: DataFrame, stage: Staging) -> DataFrame:
     return printed.where(~may_be).unionByName(printed.where(may_be).dropDuplicates(["host", "print"])).drop("print")
 
 
-def page_templates(pages: DataFrame) -> DataFrame:
+def page_templates(pages: DataFrame, stage: Staging) -> DataFrame:
     """(host, main, texts): the main slot's path and the template's text runs, for hosts that have a template."""
     found = pages.select("host", "key", "html").mapInArrow(_token_batches, "host string, token bigint, pages bigint, vector bigint, most bigint, kind bigint, chars bigint")
     # Sums of hashes go modulo 2**64: two halves are added and put together again.
@@ -213,6 +213,8 @@ def page_templates(pages: DataFrame) -> DataFrame:
         F.sum("pages").alias("pages"), F.sum(F.expr("vector & 4294967295")).alias("low"), F.sum(F.expr("shiftrightunsigned(vector, 32)")).alias("high"),
         F.max("most").alias("most"), F.max("kind").alias("kind"), F.sum("chars").alias("chars"),
     )
+    # Staged, as it is read twice under two filters, for each of which the planner would read all pages anew.
+    tokens = stage.table(tokens.where("token = 0 or pages >= 2"), "tokens")
     hosts = tokens.where("token = 0").select("host", F.col("pages").alias("of"), F.col("chars").alias("all"))
     often = tokens.where("pages >= 2").join(hosts, "host").where((F.col("of") >= LEAST_PAGES) & (F.col("pages") >= SUPPORT * F.col("of")))
     vector = [F.pmod(F.col("low"), F.lit(1 << 32)), F.pmod(F.col("high") + F.expr("shiftrightunsigned(low, 32)"), F.lit(1 << 32)), F.col("pages")]
@@ -269,6 +271,6 @@ def extract_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "u
     stage = Staging(pages.sparkSession)
     read = pages.select(F.col(id_col).cast("bigint").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
     keyed = read.select("*", host_of(F.col("url")).alias("host"), F.xxhash64("page_id", "url").alias("key"))
-    templates = stage.table(page_templates(_distinct_pages(keyed, stage)), "templates")
+    templates = stage.table(page_templates(_distinct_pages(keyed, stage), stage), "templates")
     joined = keyed.join(templates, "host", "left").select("page_id", "url", "host", "html", "main", "texts")
     return joined.mapInArrow(_text_batches, "page_id bigint, url string, text string, n_chars bigint")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from blocklog.llm import html_text, url_filter
 from blocklog.llm.queries import URL_RULES
+from blocklog.session import Staging
 from tests.llm import plain
 
 RULES = [url_filter.parse_rule(*r) for r in URL_RULES]
@@ -152,3 +153,11 @@ def test_an_article_copied_over_a_host_keeps_its_text(spark):
     rows += [(k, f"http://k.org/{k}", page.format(k=k).replace("copied story", _story(k)).replace("copied end", f"end {k}")) for k in range(30, 40)]
     got = {r.page_id: r.text for r in html_text.extract_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
     assert {got[k] for k in range(30)} == {"copied story copied end"} and all(got[k] == f"{_story(k)} end {k}" for k in range(30, 40))
+
+
+def test_the_pages_are_not_read_again_for_the_templates(spark):
+    rows = [(k, "h", f"<nav>menu</nav><main><p>text {k}</p></main>") for k in range(8)]
+    pages = spark.createDataFrame(rows, "key bigint, host string, html string")
+    templates = html_text.page_templates(pages, Staging(spark))
+    assert "MapInArrow" not in templates._jdf.queryExecution().executedPlan().toString()
+    assert [r.host for r in templates.collect()] == ["h"]
