@@ -108,6 +108,34 @@ def test_line_dedup_moved_and_edited_words(spark):
     assert got == plain.removed_lines(rows)
 
 
+def test_lines_of_one_group_are_not_compared_across_their_centres(spark, monkeypatch):
+    first = [f"w{k}" for k in range(80)]
+    second = [f"v{k}" if k < 40 and k % 4 == 0 else w for k, w in enumerate(first)]  # too far from the first, with half of its segments
+    rows, sizes, across = [], [], line_dedup._across
+    for k in range(36):
+        w = (first if k < 18 else second)[:]
+        w[41 + k] = "x"
+        rows.append((k, " ".join(w)))
+
+    def counted(*args):
+        pairs = across(*args)
+        sizes.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(line_dedup, "_across", counted)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {x.doc_id: list(x.removed_lines) for x in line_dedup.dedup_lines(docs, most=None, short=2).collect()}
+    assert got == plain.removed_lines(rows, most=99) and sizes[0] < 36  # the second group has 153 pairs
+
+
+def test_documents_without_hits_are_not_shuffled(spark, docs):
+    bench = spark.createDataFrame(ITEMS[:2], "item_id bigint, text string")
+    left = decontamination.drop_contaminated(docs, bench)
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    kept = {d[0] for d in hard_documents()} - {r.doc_id for r in decontamination.decontaminate_report(docs, bench).where("contaminated").collect()}
+    assert plan.count("InMemoryTableScan") == 2 and "Union" in plan and {r.doc_id for r in left.collect()} == kept
+
+
 def test_line_dedup_hard_rows(spark):
     line = "a line of six plain words"
     rows = [(None, line), (1, line + "\nshort"), (1, line + "\nshort"), (2, line), (3, None), (4, "")]
