@@ -128,6 +128,24 @@ def test_lines_of_one_group_are_not_compared_across_their_centres(spark, monkeyp
     assert got == plain.removed_lines(rows, most=99) and sizes[0] < 36  # the second group has 153 pairs
 
 
+def test_lines_around_a_common_passage_are_not_paired_out(spark, monkeypatch):
+    passage = [f"p{k}" for k in range(60)]
+    rows, sizes, across = [], [], line_dedup._across
+    for k in range(30):  # far from each other: all lack the words that the centre has beside the passage
+        rows.append((k, " ".join([f"w{k}x{i}" for i in range(12)] + passage)))
+    rows += [(100 + k, rows[k][1].replace("p30", f"q{k}")) for k in range(0, 30, 5)]
+
+    def counted(*args):
+        pairs = across(*args)
+        sizes.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(line_dedup, "_across", counted)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {x.doc_id: list(x.removed_lines) for x in line_dedup.dedup_lines(docs, most=None, short=2).collect()}
+    assert got == plain.removed_lines(rows, most=99) and sizes[0] < 36  # 435 pairs of lines that are far from each other
+
+
 def test_documents_without_hits_are_not_shuffled(spark, docs):
     bench = spark.createDataFrame(ITEMS[:2], "item_id bigint, text string")
     left = decontamination.drop_contaminated(docs, bench)
