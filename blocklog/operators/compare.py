@@ -169,7 +169,10 @@ def _with_step(found: DataFrame, reached: DataFrame, first_step: int, tag: str =
     )
 
 
-def _side_findings(side: DataFrame, name: str) -> DataFrame:
+def _side_findings(side: DataFrame, name: str, mode: str | None = None) -> DataFrame:
+    """The findings of one side, which is narrowed first if `mode` is given."""
+    if mode is not None:
+        side = _narrowed(side, mode, F.lit(False))
     return side.where(F.col("kind").isNotNull()).select(
         STREAM,
         F.lit(name).alias("side"),
