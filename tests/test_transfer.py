@@ -229,3 +229,36 @@ def test_a_chunk_is_one_file(spark, tmp_path):
     index = ChunkIndex(spark, path, rows.schema)
     assert sorted(map(tuple, index.missing().collect())) == [("a b+c/d", 1 + 500 * i) for i in range(4)]
     assert index.refresh() == 4 and index.missing().count() == 0
+
+
+def test_restore_opens_small_chunks_once(spark, tmp_path, monkeypatch):
+    path, rows, seen, copy = str(tmp_path / "backup"), messages(spark, CHAIN), [], transfer.copy_batch
+    B.write_backup(rows, path, max_entries=2)
+
+    def watched(read, *args, **options):
+        seen.extend(read.inputFiles())  # what the passes over the rows open
+        return copy(read, *args, **options)
+
+    monkeypatch.setattr(transfer, "copy_batch", watched)
+    plain = B.read_backup(spark, path, schema=rows.schema)
+    for name, source in ("plain", plain), ("indexed", ChunkIndex(spark, path, rows.schema, "nested")):
+        output = VerifiedOutput(spark, str(tmp_path / name))
+        for end in (5, 99):
+            transfer.restore(source, output, restore_rules(start=1, end=end, tolerance=9))
+        assert written(output) == [(i, i) for i in range(1, 9)]
+    assert seen and not [f for f in seen if "chunk_id=" in f]
+
+
+def test_backup_is_listed_by_few_tasks(spark, tmp_path):
+    name, path, rows = "spark.sql.sources.parallelPartitionDiscovery.parallelism", str(tmp_path / "backup"), messages(spark, CHAIN * 10)
+    rows.withColumn("stream_id", F.col("seq")).withColumn("chunk_id", F.col("seq")).coalesce(1).write.partitionBy("stream_id", "chunk_id").parquet(path)
+    index, before = ChunkIndex(spark, path, rows.schema), spark.conf.get(name, None)
+    context = spark.sparkContext
+    for k, read in enumerate((lambda: B.read_backup(spark, path, schema=rows.schema), index.rows, index.folders)):
+        context.setJobGroup(f"listing-{k}", "")
+        read()
+        tracker = context.statusTracker()
+        stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(f"listing-{k}") for s in tracker.getJobInfo(j).stageIds]
+        assert stages and max(s.numTasks for s in stages) <= 4 * context.defaultParallelism < 80  # a task for each log
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert spark.conf.get(name, None) == before
